@@ -8,16 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HASH_MODULUS = 51_000
 _CHUNK = pow(2, 32, HASH_MODULUS)
 
 
-def hash_residue(text: Column) -> Column:
-    """md5(text) as an integer, modulo HASH_MODULUS: four 32-bit chunks, most significant first."""
-    digest = F.md5(text.cast("string").cast("binary"))
+def residue_of(digest: Column) -> Column:
+    """An md5 in hex as an integer, modulo HASH_MODULUS: four 32-bit chunks, most significant first."""
     residue = F.lit(0).cast("bigint")
     for start in (1, 9, 17, 25):
         chunk = F.conv(F.substring(digest, start, 8), 16, 10).cast("bigint")
@@ -25,6 +24,16 @@ def hash_residue(text: Column) -> Column:
     return residue
 
 
+def with_residue(df: DataFrame, text: Column, name: str, where: Column | None = None) -> DataFrame:
+    """Adds the residue of md5(text) as a column, so that several stand-ins share one hash.
+
+    `where` limits the hash to the rows that need one; the others get null.
+    """
+    digest = F.md5(text.cast("string").cast("binary"))
+    marked = df.withColumn(f"{name}_md5", digest if where is None else F.when(where, digest))
+    return marked.withColumn(name, residue_of(F.col(f"{name}_md5"))).drop(f"{name}_md5")
+
+
 def stand_in_status(residue: Column, codes: Sequence[int]) -> Column:
     return F.element_at(F.array(*[F.lit(c) for c in codes]), (residue % 10 + 1).cast("int"))
 

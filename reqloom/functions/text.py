@@ -7,22 +7,26 @@ from pyspark.sql import functions as F
 
 # Every character that counts as white space, ASCII and Unicode.
 WHITE_SPACE = (
-    "[\\t\\n\\x0B\\f\\r \\x1c\\x1d\\x1e\\x1f\\x85\\xa0\\x{1680}\\x{2000}-\\x{200a}"
-    "\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}]"
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-_EDGES = f"^{WHITE_SPACE}+|{WHITE_SPACE}+$"
+_OTHER_SPACE = WHITE_SPACE.replace(" ", "")
 _ZONE = "(?:[zZ]|[+-][0-9]{2}:?[0-9]{2}|[+-][0-9]{2})$"
 # The two accepted date formats.
 DATE_FORMATS = ("yyyy-M-d", "yyyy-M-d H:m:s")
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGES, "")
+    return F.btrim(text, F.lit(WHITE_SPACE))
 
 
 def normalize_text(text: Column) -> Column:
-    """Trimmed, lower case, each run of white space as one space."""
-    return F.regexp_replace(F.lower(strip(text)), f"{WHITE_SPACE}+", " ")
+    """Trimmed, lower case, each run of white space as one space.
+
+    All white space becomes spaces first: a pattern of two or more spaces is several times faster than a class of 29.
+    """
+    spaced = F.translate(text, _OTHER_SPACE, " " * len(_OTHER_SPACE))
+    return F.lower(F.trim(F.regexp_replace(spaced, "  +", " ")))
 
 
 def normalize_items(items: Column) -> Column:

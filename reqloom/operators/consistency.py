@@ -6,7 +6,8 @@ requires the field. Text columns are normalised first.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -45,50 +46,86 @@ def completeness(columns: Sequence[str]) -> Column:
 
 
 def repeated_values(df: DataFrame) -> Column:
-    """Values of a row's scalar fields that an earlier field of the row already holds.
+    """Values of a row's scalar fields that an earlier field of the row already holds, as text.
 
-    Values are compared as tagged text: whole numbers, fractions and booleans by their number, null with null.
+    Numbers and booleans compare by number whatever their type, texts with texts, times with times, null with null.
     """
+    repeats = [F.when(condition, value) for condition, value in _repeats(df)]
+    return F.array_compact(F.array(*repeats)) if repeats else F.array().cast("array<string>")
+
+
+def _repeats(df: DataFrame) -> list[tuple[Column, Column]]:
+    """Per scalar field: whether an earlier field holds its value, and the value as text."""
     scalars = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    if not scalars:
-        return F.array().cast("array<string>")
-    values = F.array(*[_canonical(f) for f in scalars])
-    repeats = F.filter(values, lambda value, i: F.array_position(values, value) < i + 1)
-    return F.transform(repeats, lambda value: F.substring(value, 3, 2**31 - 1))
+    found = []
+    for i, later in enumerate(scalars):
+        same = [_same(earlier, later) for earlier in scalars[:i]]
+        if same:
+            found.append((reduce(lambda a, b: a | b, same), _as_text(later)))
+    return found
+
+
+def _family(field: T.StructField) -> str:
+    if isinstance(field.dataType, (T.BooleanType, T.NumericType)):
+        return "number"
+    return "text" if isinstance(field.dataType, T.StringType) else field.dataType.typeName()
+
+
+def _same(left: T.StructField, right: T.StructField) -> Column:
+    a, b = F.col(left.name), F.col(right.name)
+    both_null = a.isNull() & b.isNull()
+    if _family(left) != _family(right):
+        return both_null
+    if _family(left) == "number":
+        whole = all(isinstance(f.dataType, (T.BooleanType, T.IntegralType)) for f in (left, right))
+        a, b = (c.cast("bigint" if whole else "double") for c in (a, b))
+        equal = a == b if whole else (a == b) & ~F.isnan(a)
+    else:
+        equal = a == b
+    return both_null | F.coalesce(equal, F.lit(False))
 
 
-def _canonical(field: T.StructField) -> Column:
+def _as_text(field: T.StructField) -> Column:
     column = F.col(field.name)
-    kind = field.dataType
-    if isinstance(kind, (T.BooleanType, T.IntegralType)):
-        tagged = F.concat(F.lit("n:"), column.cast("bigint").cast("string"))
-    elif isinstance(kind, T.NumericType):
+    if isinstance(field.dataType, T.BooleanType):
+        text_value = column.cast("int").cast("string")
+    elif isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
         value = column.cast("double")
         whole = (value == F.floor(value)) & (F.abs(value) < F.lit(9.0e18))
-        number = F.when(whole, F.floor(value).cast("string")).otherwise(value.cast("string"))
-        tagged = F.concat(F.lit("n:"), number)
-    elif isinstance(kind, T.StringType):
-        tagged = F.concat(F.lit("s:"), column)
+        text_value = F.when(whole, F.floor(value).cast("string")).otherwise(value.cast("string"))
     else:
-        tagged = F.concat(F.lit("t:"), column.cast("string"))
-    return F.coalesce(tagged, F.lit("0:null"))
-
-
-def _issue(condition: Column, rule: str, level: str, message: str, details: dict[str, Column] | None = None) -> Column:
-    pairs = [part for name, value in (details or {}).items() for part in (F.lit(name), value.cast("string"))]
-    detail = F.create_map(*pairs) if pairs else F.create_map()
-    issue = F.struct(
-        F.lit(rule).alias("rule"),
-        F.lit(level).alias("level"),
-        F.lit(message).alias("message"),
-        detail.cast("map<string,string>").alias("details"),
-    )
-    return F.when(condition, issue)
+        text_value = column.cast("string")
+    return F.coalesce(text_value, F.lit("null"))
+
+
+@dataclass(frozen=True)
+class Rule:
+    """A row breaks the rule where `broken` is true."""
+
+    name: str
+    level: str
+    message: str
+    broken: Column
+    details: Mapping[str, Column] = field(default_factory=dict)
+
+    def is_broken(self) -> Column:
+        return F.coalesce(self.broken, F.lit(False))
+
+    def issue(self) -> Column:
+        pairs = [part for name, value in self.details.items() for part in (F.lit(name), value.cast("string"))]
+        details = F.create_map(*pairs) if pairs else F.create_map()
+        issue = F.struct(
+            F.lit(self.name).alias("rule"),
+            F.lit(self.level).alias("level"),
+            F.lit(self.message).alias("message"),
+            details.cast("map<string,string>").alias("details"),
+        )
+        return F.when(self.broken, issue)
 
 
-def issue_rules(df: DataFrame) -> list[Column]:
-    """One column per rule: an issue where the rule is broken, else null."""
-    kinds = {f.name: f.dataType for f in df.schema.fields}
+def row_rules(rows: DataFrame) -> list[Rule]:
+    """The rules that apply to the columns of normalised rows, in the order they are reported."""
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
 
     def number(name: str) -> Column | None:
         if name not in kinds:
@@ -102,67 +139,50 @@ def issue_rules(df: DataFrame) -> list[Column]:
     rules = []
     for name in REQUIRED:
         missing = F.col(name).isNull() if name in kinds else F.lit(True)
-        rules.append(_issue(missing, "schema", ERROR, f"Missing field: {name}"))
+        rules.append(Rule("schema", ERROR, f"Missing field: {name}", missing))
 
     if "timestamp" in kinds and not isinstance(
         kinds["timestamp"], (T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType)
     ):
-        rules.append(
-            _issue(F.col("timestamp").isNotNull(), "type_timestamp", ERROR, "timestamp must be string or datetime")
-        )
+        wrong = F.col("timestamp").isNotNull()
+        rules.append(Rule("type_timestamp", ERROR, "timestamp must be string or datetime", wrong))
     code, latency = number("status_code"), number("latency")
     total, success, rate = number("total_requests"), number("success_requests"), number("success_rate")
-    if code is not None:
-        kind = kinds["status_code"]
-        if not isinstance(kind, T.IntegralType):
-            whole = F.col("status_code").try_cast("bigint") if isinstance(kind, T.StringType) else F.lit(None)
-            wrong = F.col("status_code").isNotNull() & whole.isNull()
-            rules.append(_issue(wrong, "type_status_code", ERROR, "status_code must be int"))
-    if latency is not None and not isinstance(kinds["latency"], T.NumericType):
-        wrong = F.col("latency").isNotNull() & latency.isNull()
-        rules.append(_issue(wrong, "type_latency", ERROR, "latency must be numeric"))
+    if code is not None and not isinstance(kinds["status_code"], T.IntegralType):
+        is_text = isinstance(kinds["status_code"], T.StringType)
+        whole = F.col("status_code").try_cast("bigint") if is_text else F.lit(None)
+        wrong = F.col("status_code").isNotNull() & whole.isNull()
+        rules.append(Rule("type_status_code", ERROR, "status_code must be int", wrong))
+    if latency is not None:
+        unreadable = F.col("latency").isNotNull() & latency.isNull()
+        if not isinstance(kinds["latency"], T.NumericType):
+            rules.append(Rule("type_latency", ERROR, "latency must be numeric", unreadable))
 
     has_counts = all(c is not None for c in (total, success, rate))
     if has_counts:
         computed = F.try_divide(success, total)
         apart = (total > 0) & ~F.isnan(rate) & (F.abs(computed - rate) > RATE_TOLERANCE)
-        rules.append(
-            _issue(apart, "cross_success_rate", WARNING, "Mismatch between computed and reported success_rate")
-        )
+        message = "Mismatch between computed and reported success_rate"
+        rules.append(Rule("cross_success_rate", WARNING, message, apart))
     if code is not None:
-        rules.append(
-            _issue(~code.between(100, 599), "business_status_code", ERROR, "status_code must be between 100 and 599")
-        )
+        outside = ~code.between(100, 599)
+        rules.append(Rule("business_status_code", ERROR, "status_code must be between 100 and 599", outside))
     if latency is not None:
-        rules.append(_issue(latency < 0, "business_latency", ERROR, "latency must be >= 0"))
-        unreadable = F.col("latency").isNotNull() & latency.isNull()
-        rules.append(_issue(unreadable | (latency < 0), "metric_latency", ERROR, "Latency must be >= 0"))
+        rules.append(Rule("business_latency", ERROR, "latency must be >= 0", latency < 0))
+        rules.append(Rule("metric_latency", ERROR, "Latency must be >= 0", unreadable | (latency < 0)))
     if rate is not None:
-        rules.append(
-            _issue(~rate.between(0, 1), "metric_success_rate", ERROR, "success_rate must be between 0 and 1")
-        )
+        outside = ~rate.between(0, 1)
+        rules.append(Rule("metric_success_rate", ERROR, "success_rate must be between 0 and 1", outside))
     if total is not None and success is not None:
-        rules.append(_issue(success > total, "metric_counts", ERROR, "success_requests > total_requests"))
+        rules.append(Rule("metric_counts", ERROR, "success_requests > total_requests", success > total))
     if has_counts:
-        rules.append(
-            _issue(
-                apart,
-                "metric_consistency",
-                WARNING,
-                "success_rate inconsistent with counts",
-                {"computed": computed, "reported": rate},
-            )
-        )
-    repeats = repeated_values(df)
-    rules.append(
-        _issue(
-            F.size(repeats) > 0,
-            "duplicates",
-            WARNING,
-            "Duplicate values detected",
-            {"values": F.array_join(repeats, ", ")},
-        )
-    )
+        details = {"computed": computed, "reported": rate}
+        rules.append(Rule("metric_consistency", WARNING, "success_rate inconsistent with counts", apart, details))
+    repeats = [condition for condition, _ in _repeats(rows)]
+    if repeats:
+        details = {"values": F.array_join(repeated_values(rows), ", ")}
+        any_repeat = reduce(lambda a, b: a | b, repeats)
+        rules.append(Rule("duplicates", WARNING, "Duplicate values detected", any_repeat, details))
     return rules
 
 
@@ -171,34 +191,49 @@ def check_rows(df: DataFrame) -> DataFrame:
     rows = normalize_rows(df)
     return rows.select(
         "*",
-        F.array_compact(F.array(*issue_rules(rows))).alias("issues"),
+        F.array_compact(F.array(*[rule.issue() for rule in row_rules(rows)])).alias("issues"),
         completeness(rows.columns).alias("quality_score"),
     )
 
 
-def has_error(issues: Column) -> Column:
-    return F.exists(issues, lambda issue: issue["level"] == ERROR)
+def issue_counts(df: DataFrame) -> DataFrame:
+    """Rows per broken rule. One aggregate counts all rules; no issue lists are built."""
+    rows = normalize_rows(df)
+    rules = row_rules(rows)
+    counts = rows.agg(*[F.count_if(rule.is_broken()).alias(f"_{i}") for i, rule in enumerate(rules)])
+    long = counts.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(F.lit(r.name).alias("rule"), F.lit(r.level).alias("level"), F.col(f"_{i}").alias("n_rows"))
+                    for i, r in enumerate(rules)
+                ]
+            )
+        )
+    )
+    return long.groupBy("rule", "level").agg(F.sum("n_rows").alias("n_rows")).where(F.col("n_rows") > 0)
 
 
-def issue_counts(checked: DataFrame) -> DataFrame:
-    """Broken rules by number of rows."""
-    return (
-        checked.select(F.explode("issues").alias("issue"))
-        .groupBy(F.col("issue.rule").alias("rule"), F.col("issue.level").alias("level"))
-        .agg(F.count(F.lit(1)).alias("n_rows"))
-    )
+def _broken_count(rules: list[Rule], level: str) -> Column:
+    ones = [rule.is_broken().cast("int") for rule in rules if rule.level == level]
+    return reduce(lambda a, b: a + b, ones, F.lit(0))
 
 
 def consistency_report(df: DataFrame, strict: bool = False, path: str | None = None) -> DataFrame:
     """One row: is_consistent, errors, warnings, rows, error_ratio, quality_score, file. Strict raises on any error."""
-    checked = check_rows(df).select("issues", "quality_score")
-    errors = F.size(F.filter("issues", lambda issue: issue["level"] == ERROR))
-    report = checked.agg(
-        F.coalesce(F.sum(errors), F.lit(0)).alias("errors"),
-        F.coalesce(F.sum(F.size("issues") - errors), F.lit(0)).alias("warnings"),
+    rows = normalize_rows(df)
+    rules = row_rules(rows)
+    judged = rows.select(
+        _broken_count(rules, ERROR).alias("_errors"),
+        _broken_count(rules, WARNING).alias("_warnings"),
+        completeness(rows.columns).alias("_score"),
+    )
+    report = judged.agg(
+        F.coalesce(F.sum("_errors"), F.lit(0)).alias("errors"),
+        F.coalesce(F.sum("_warnings"), F.lit(0)).alias("warnings"),
         F.count(F.lit(1)).alias("n_rows"),
-        F.avg((errors > 0).cast("int")).alias("error_ratio"),
-        F.avg("quality_score").alias("quality_score"),
+        F.avg((F.col("_errors") > 0).cast("int")).alias("error_ratio"),
+        F.avg("_score").alias("quality_score"),
     ).select(
         (F.col("errors") == 0).alias("is_consistent"),
         "errors",
@@ -217,8 +252,7 @@ def passes_error_gate(df: DataFrame, max_error_ratio: float = MAX_ERROR_RATIO) -
     """True when at most this share of rows has an error."""
     if not 0 <= max_error_ratio <= 1:
         raise ValueError("max_error_ratio must be between 0 and 1")
-    checked = check_rows(df)
-    return (checked.agg(F.avg(has_error(F.col("issues")).cast("int"))).first()[0] or 0.0) <= max_error_ratio
+    return (consistency_report(df).first()["error_ratio"] or 0.0) <= max_error_ratio
 
 
 def check_input_file(spark: SparkSession, path: str) -> DataFrame:

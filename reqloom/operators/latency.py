@@ -9,7 +9,7 @@ from reqloom.functions.measures import WEIGHT, cells, total, weighted_mean
 from reqloom.operators.attach import attach_stats
 from reqloom.operators.percentiles import percentile_summary
 from reqloom.operators.ranking import Ranking, rank_within
-from reqloom.operators.rolling import BUCKET_SECONDS, bucket_of, key_column, keyed, neighbours
+from reqloom.operators.rolling import BUCKET_SECONDS, bucket_of, by_cell, key_column, keyed, neighbours
 
 LATENCY = "latency_ms"
 PERCENTS = {"p50_latency_ms": 50, "p95_latency_ms": 95, "p99_latency_ms": 99}
@@ -77,7 +77,7 @@ def rolling_avg_hourly(requests: DataFrame) -> DataFrame:
 def latency_delta(requests: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Change of latency against the previous request of the same path."""
     rows = keyed(requests, "api_path", "event_timestamp", bucket_seconds, trace=F.col("trace"), latency_ms=F.col(LATENCY))
-    looked = neighbours(rows, LATENCY, previous="prev_latency_ms", tiebreak="trace")
+    looked = neighbours(by_cell(rows), LATENCY, previous="prev_latency_ms", tiebreak="trace")
     return looked.select(
         F.col("_ts").alias("event_timestamp"),
         key_column().alias("api_path"),

@@ -37,17 +37,26 @@ def normalize_flat(raw: DataFrame, ingest_ts: datetime | None = None, synthesize
         return F.coalesce(*[F.nullif(c.cast("string"), F.lit("")) for c in sources], F.lit(None).cast("string"))
 
     trace = F.coalesce(field("trace").cast("string"), F.lit(S.DEFAULT_TRACE))
-    residue = hashing.hash_residue(trace)
-    status = first_number("status_code", "status").cast("int")
-    latency = first_number("latency_ms", "latency").cast("bigint")
-    address = first_text("remote_ip", "remoteIp")
+    event_time = _event_time(raw, "timestamp", ingest_ts)
+    known = raw.withColumns(
+        {
+            "_trace": trace,
+            "_status": first_number("status_code", "status").cast("int"),
+            "_latency": first_number("latency_ms", "latency").cast("bigint"),
+            "_address": first_text("remote_ip", "remoteIp"),
+        }
+    )
+    status, latency, address = F.col("_status"), F.col("_latency"), F.col("_address")
     if synthesize_missing:
+        gap = status.isNull() | latency.isNull() | address.isNull()
+        known = hashing.with_residue(known, F.col("_trace"), "_residue", gap)
+        residue = F.col("_residue")
         status = F.coalesce(status, hashing.stand_in_status(residue, S.FLAT_STATUS_CODES))
         latency = F.coalesce(latency, hashing.stand_in_latency(residue))
         address = F.coalesce(address, hashing.stand_in_ip_flat(residue))
 
-    return raw.select(
-        _event_time(raw, "timestamp", ingest_ts).alias("event_timestamp"),
+    return known.select(
+        event_time.alias("event_timestamp"),
         field("resource_type", S.DEFAULT_ENV).alias("env"),
         field("service", S.DEFAULT_SERVICE).alias("service"),
         field("version", S.DEFAULT_VERSION).alias("version"),
@@ -61,7 +70,7 @@ def normalize_flat(raw: DataFrame, ingest_ts: datetime | None = None, synthesize
         address.alias("remote_ip"),
         field("user_agent", S.DEFAULT_USER_AGENT).alias("user_agent"),
         field("user_uid", S.DEFAULT_USER_UID).alias("user_uid"),
-        trace.alias("trace"),
+        F.col("_trace").alias("trace"),
         F.coalesce(field("payload_size").cast("bigint"), F.lit(0).cast("bigint")).alias("payload_size"),
     )
 
@@ -77,7 +86,6 @@ def normalize_log_entries(
     """
     parsed = entries.withColumn("_text", F.from_json("textPayload", S.ENTRY_PAYLOAD))
     payload, parsed_text, http, labels = (F.col(c) for c in ("jsonPayload", "_text", "httpRequest", "labels"))
-    residue = hashing.hash_residue(F.coalesce(F.col("trace"), F.lit(S.DEFAULT_TRACE)))
 
     def whole(column: Column) -> Column:
         return column.cast("bigint")
@@ -89,12 +97,19 @@ def normalize_log_entries(
         whole(parsed_text["latency_ms"]).cast("double"),
     ]
     address = [http["remoteIp"], payload["remote_ip"], parsed_text["remote_ip"]]
+    known = parsed.withColumns(
+        {"_status": F.coalesce(*status), "_latency": F.coalesce(*latency), "_address": F.coalesce(*address)}
+    )
+    status, latency, address = F.col("_status"), F.col("_latency"), F.col("_address")
     if synthesize_missing:
-        status.append(hashing.stand_in_status(residue, S.ENTRY_STATUS_CODES).cast("bigint"))
-        latency.append(hashing.stand_in_latency(residue).cast("double"))
-        address.append(hashing.stand_in_ip_entry(residue))
-
-    return parsed.select(
+        gap = status.isNull() | latency.isNull() | address.isNull()
+        known = hashing.with_residue(known, F.coalesce(F.col("trace"), F.lit(S.DEFAULT_TRACE)), "_residue", gap)
+        residue = F.col("_residue")
+        status = F.coalesce(status, hashing.stand_in_status(residue, S.ENTRY_STATUS_CODES).cast("bigint"))
+        latency = F.coalesce(latency, hashing.stand_in_latency(residue).cast("double"))
+        address = F.coalesce(address, hashing.stand_in_ip_entry(residue))
+
+    return known.select(
         _event_time(entries, "timestamp", ingest_ts).alias("event_timestamp"),
         F.coalesce(F.col("resource")["type"], F.lit(S.DEFAULT_ENV)).alias("env"),
         F.coalesce(
@@ -112,9 +127,9 @@ def normalize_log_entries(
             http["requestMethod"],
             F.lit(S.DEFAULT_REQUEST_METHOD),
         ).alias("request_method"),
-        F.coalesce(*status).cast("int").alias("status_code"),
-        F.coalesce(*latency).alias("latency_ms"),
-        F.coalesce(*address).alias("remote_ip"),
+        status.cast("int").alias("status_code"),
+        latency.alias("latency_ms"),
+        address.alias("remote_ip"),
         F.coalesce(payload["user_uid"], parsed_text["user_uid"], F.lit(S.DEFAULT_USER_UID)).alias("user_uid"),
         F.col("trace"),
     )

@@ -55,6 +55,12 @@ def keyed(rows: DataFrame, key: str, ts: str, bucket_seconds: int, **columns: Co
     )
 
 
+def by_cell(rows: DataFrame) -> DataFrame:
+    """One shuffle by key and bucket for everything above it: what the windows and the edges of `neighbours` read is
+    the same exchange, which Spark then runs once."""
+    return rows.repartition(*_CELL)
+
+
 def key_column() -> Column:
     return F.when(~F.col(_KEY[0]), F.col(_KEY[1]))
 
@@ -96,11 +102,11 @@ def rolling_counts(
             )
         ),
     )
-    placed = moved.unionByName(_bucket_totals(base, lookbacks, bucket_seconds))
+    placed = by_cell(moved.unionByName(_bucket_totals(base, lookbacks, bucket_seconds)))
 
     # Bucket totals sort first, then rows up to the same instant, then the copies that leave after it.
-    order = [F.col("_ts").asc_nulls_first(), F.signum(F.col("_kind")).cast("int")]
-    upto = Window.partitionBy(*_CELL).orderBy(*order)
+    phase = F.when(F.col("_kind") < 0, -1).when(F.col("_kind") == 0, 0).otherwise(1)
+    upto = Window.partitionBy(*_CELL).orderBy(F.col("_ts").asc_nulls_first(), phase)
     sums = []
     for i, lookback in enumerate(lookbacks, 1):
         for name, column in ((lookback.count_name, "_n"), (lookback.flagged_name, "_x")):
@@ -159,23 +165,23 @@ def neighbours(
     previous: str | None = None,
     following: str | None = None,
     tiebreak: str | None = None,
+    also_read: Sequence[str] = (),
 ) -> DataFrame:
     """Value of the previous and following row of the same key in time order.
 
     Inside a bucket this is LAG and LEAD; the first and last row of a bucket take theirs from the edge of the nearest
-    non-empty bucket, found in a table of one row per (key, bucket).
+    non-empty bucket, found in a table of one row per (key, bucket). `rows` come from `by_cell`; `also_read` names the
+    columns of theirs that `value` does not depend on but the result does, so that both sides read the same exchange.
     """
     order = ["_ts", *([tiebreak] if tiebreak else [])]
     by_time = Window.partitionBy(*_CELL).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    instant = F.struct(*order)
-    edges = rows.groupBy(*_CELL).agg(
-        F.min_by(value, instant).alias("_first"), F.max_by(value, instant).alias("_last")
-    )
+    instant, seen = F.struct(*order), F.struct(F.col(value).alias("v"), *also_read)
+    edges = rows.groupBy(*_CELL).agg(F.min_by(seen, instant).alias("_first"), F.max_by(seen, instant).alias("_last"))
     by_bucket = Window.partitionBy(*_KEY).orderBy(_BUCKET)
     edges = edges.select(
         *_CELL,
-        F.lag("_last").over(by_bucket).alias("_edge_previous"),
-        F.lead("_first").over(by_bucket).alias("_edge_following"),
+        F.lag("_last").over(by_bucket)["v"].alias("_edge_previous"),
+        F.lead("_first").over(by_bucket)["v"].alias("_edge_following"),
     )
     sides: Mapping[str, tuple] = {previous: (F.lag, "_edge_previous"), following: (F.lead, "_edge_following")}
     wanted = {name: side for name, side in sides.items() if name}

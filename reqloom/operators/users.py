@@ -79,7 +79,13 @@ def user_rolling_activity(requests: DataFrame, bucket_seconds: int = BUCKET_SECO
         [Lookback(HOUR, count, "rolling_5xx_1h")],
         bucket_seconds,
     )
-    trend = neighbours(rolled, count, previous="prev_rolling_requests_1h", following="next_rolling_requests_1h")
+    trend = neighbours(
+        rolled,
+        count,
+        previous="prev_rolling_requests_1h",
+        following="next_rolling_requests_1h",
+        also_read=["rolling_5xx_1h"],
+    )
     return trend.select(
         F.col("_ts").alias("event_timestamp"),
         key_column().alias("user_uid"),

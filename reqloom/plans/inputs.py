@@ -25,18 +25,18 @@ def requests(spark: SparkSession, folder: str, fine: bool = False) -> DataFrame:
 
     `fine` splits each path into ten.
     """
-    e = events(spark, folder)
     trace = F.concat(F.lit("trace-"), F.col("event_id").cast("string"))
+    e = hashing.with_residue(events(spark, folder).withColumn("trace", trace), F.col("trace"), "residue")
     path = [F.lit("/v1/"), F.col("event_type")]
     if fine:
         path += [F.lit("/"), (F.col("k") % 10).cast("string")]
     return e.select(
         F.col("ts").cast("timestamp_ntz").alias("event_timestamp"),
         F.concat(*path).alias("api_path"),
-        hashing.stand_in_status(hashing.hash_residue(trace), FLAT_STATUS_CODES).alias("status_code"),
+        hashing.stand_in_status(F.col("residue"), FLAT_STATUS_CODES).alias("status_code"),
         F.round(F.col("value") * 10).cast("bigint").alias("latency_ms"),
         F.concat(F.lit("user-"), F.col("user_id").cast("string")).alias("user_uid"),
-        trace.alias("trace"),
+        "trace",
         F.col("k").cast("bigint").alias("payload_size"),
     )
 

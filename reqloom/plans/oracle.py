@@ -637,8 +637,9 @@ SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|
           FROM ruled
         ),
         repeats AS (SELECT record_id, [x FOR x, i IN vals IF list_position(vals, x) < i] AS found FROM listed)
-        SELECT record_id, array_to_string([regexp_replace(x, '^[sf]:', '') FOR x IN found], ',') AS repeated
-        FROM repeats WHERE len(found) > 0"""
+        SELECT record_id, CAST(len(found) AS INTEGER) AS n_repeated,
+          array_to_string([regexp_replace(x, '^[sf]:', '') FOR x IN found], ',') AS repeated
+        FROM repeats"""
     ),
     "completeness_score": _events(
         f"{_MONITORING} SELECT record_id, round((8 - n_null) / 8, 6) AS quality_score FROM ruled"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,10 +47,9 @@ def _over(operator: Callable[[DataFrame], DataFrame], source=inputs.requests) ->
     return lambda spark, folder: rounded(operator(source(spark, folder)))
 
 
-def _synth(spark: SparkSession, folder: str) -> tuple[DataFrame, object]:
-    e = inputs.events(spark, folder)
+def _synth(spark: SparkSession, folder: str) -> tuple[DataFrame, Column]:
     trace = F.concat(F.lit("trace-"), F.col("event_id").cast("string"))
-    return e, hashing.hash_residue(trace)
+    return hashing.with_residue(inputs.events(spark, folder), trace, "residue"), F.col("residue")
 
 
 def synth_status(spark: SparkSession, folder: str) -> DataFrame:
@@ -202,7 +201,7 @@ def consistency_rows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def consistency_summary(spark: SparkSession, folder: str) -> DataFrame:
-    return consistency.issue_counts(consistency.check_rows(inputs.monitoring_rows(spark, folder)))
+    return consistency.issue_counts(inputs.monitoring_rows(spark, folder))
 
 
 def consistency_report(spark: SparkSession, folder: str) -> DataFrame:
@@ -212,7 +211,7 @@ def consistency_report(spark: SparkSession, folder: str) -> DataFrame:
 def consistency_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     rows = consistency.normalize_rows(inputs.monitoring_rows(spark, folder))
     found = rows.select("record_id", consistency.repeated_values(rows).alias("found"))
-    return found.where(F.size("found") > 0).select("record_id", F.array_join("found", ",").alias("repeated"))
+    return found.select("record_id", F.size("found").alias("n_repeated"), F.array_join("found", ",").alias("repeated"))
 
 
 def completeness_score(spark: SparkSession, folder: str) -> DataFrame:

@@ -113,7 +113,7 @@ def test_unreadable_number_fails(spark):
         ("2026-02-17T10:00:00.123456", datetime(2026, 2, 17, 10, 0, 0, 123456)),
         ("2026-02-17T10:00:00Z", datetime(2026, 2, 17, 10)),
         ("2026-02-17T10:00:00+02:00", datetime(2026, 2, 17, 8)),
-        ("2026-02-17 10:00:00-0530", datetime(2026, 2, 17, 15, 30)),
+        ("2026-02-17 10:00:00-05:30", datetime(2026, 2, 17, 15, 30)),
         ("2026-02-17", datetime(2026, 2, 17)),
         ("soon", NOW),
         (None, NOW),
@@ -123,8 +123,6 @@ def test_unreadable_number_fails(spark):
 def test_times(spark, written, read, zone):
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        if written == "2026-02-17 10:00:00-0530":
-            written = "2026-02-17 10:00:00-05:30"
         assert normalize_flat(flat(spark, {"timestamp": written}), NOW).first()["event_timestamp"] == read
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")

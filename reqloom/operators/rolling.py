@@ -8,6 +8,9 @@ each row. Here time is cut into buckets. For a row in bucket b and a look-back o
 The totals come from one small aggregate per (key, bucket). The two parts are running sums inside one bucket, once a
 copy of each row, moved forward by the look-back, is placed in the bucket that will subtract it. One shuffle by
 (key, bucket) and one running sum therefore give every look-back at once, and a hot key spreads over its buckets.
+
+Keys with few rows need no buckets: WHOLE_KEY makes one bucket of all time, without totals and edges. `split_busy` tells
+the two kinds of key apart.
 """
 
 from __future__ import annotations
@@ -18,7 +21,13 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reqloom.operators import staging
+
 BUCKET_SECONDS = 60
+WHOLE_KEY = 0
+
+# Rows of one key that one task may sort.
+ROWS_PER_KEY = 5_000_000
 
 # A null key is a group of its own: (key is null, key or '') never holds a null.
 _KEY = ["_key_null", "_key"]
@@ -38,6 +47,8 @@ class Lookback:
 
 def bucket_of(ts: Column, seconds: int) -> Column:
     """Number of the bucket that holds a timestamp; does not depend on the session zone."""
+    if seconds == WHOLE_KEY:
+        return F.lit(0).cast("bigint")
     days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("bigint")
     second_of_day = F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
     number = F.floor((days * 86400 + second_of_day) / F.lit(seconds)).cast("bigint")
@@ -61,6 +72,24 @@ def by_cell(rows: DataFrame) -> DataFrame:
     return rows.repartition(*_CELL)
 
 
+def split_busy(
+    rows: DataFrame, key: str, rows_per_key: int = ROWS_PER_KEY, broadcast_bytes: int = staging.BROADCAST_BYTES
+) -> tuple[DataFrame | None, DataFrame | None]:
+    """Rows of ordinary keys and rows of keys with more than `rows_per_key` rows; None where there are none.
+
+    The busy keys are few, at most rows / rows_per_key, and are broadcast after their size is checked; should they be
+    too large for that, all rows count as busy.
+    """
+    counts = rows.groupBy(F.col(key).alias("_busy")).agg(F.count(F.lit(1)).alias("_rows"))
+    busy = staging.stage(counts.where(F.col("_rows") > rows_per_key).select("_busy"))
+    if busy.isEmpty():
+        return rows, None
+    if staging.staged_bytes(busy) > broadcast_bytes:
+        return None, rows
+    condition = rows[key].eqNullSafe(busy["_busy"])
+    return tuple(rows.join(F.broadcast(busy), condition, how) for how in ("left_anti", "left_semi"))
+
+
 def key_column() -> Column:
     return F.when(~F.col(_KEY[0]), F.col(_KEY[1]))
 
@@ -78,9 +107,9 @@ def rolling_counts(
     `flagged` is 0 or 1. Returns the internal key and bucket columns, `_ts` and the sums; see `neighbours` and
     `key_column`.
     """
-    for lookback in lookbacks:
-        if lookback.seconds % bucket_seconds:
-            raise ValueError("a look-back must be a whole number of buckets")
+    in_buckets = bucket_seconds != WHOLE_KEY
+    if in_buckets and any(lookback.seconds % bucket_seconds for lookback in lookbacks):
+        raise ValueError("a look-back must be a whole number of buckets")
     base = keyed(rows, key, ts, bucket_seconds, _x=flagged)
 
     # kind 0: the row itself; i: its copy moved forward by look-back i; -i: bucket totals of look-back i
@@ -92,7 +121,7 @@ def rolling_counts(
                 *[
                     _cell(
                         F.lit(i),
-                        F.col(_BUCKET) + lookback.seconds // bucket_seconds,
+                        F.col(_BUCKET) + (lookback.seconds // bucket_seconds if in_buckets else 0),
                         F.col("_ts") + F.expr(f"INTERVAL {lookback.seconds} SECOND"),
                         F.lit(1),
                         F.col("_x"),
@@ -102,7 +131,9 @@ def rolling_counts(
             )
         ),
     )
-    placed = by_cell(moved.unionByName(_bucket_totals(base, lookbacks, bucket_seconds)))
+    if in_buckets:
+        moved = moved.unionByName(_bucket_totals(base, lookbacks, bucket_seconds))
+    placed = by_cell(moved)
 
     # Bucket totals sort first, then rows up to the same instant, then the copies that leave after it.
     phase = F.when(F.col("_kind") < 0, -1).when(F.col("_kind") == 0, 0).otherwise(1)
@@ -166,15 +197,20 @@ def neighbours(
     following: str | None = None,
     tiebreak: str | None = None,
     also_read: Sequence[str] = (),
+    whole_key: bool = False,
 ) -> DataFrame:
     """Value of the previous and following row of the same key in time order.
 
     Inside a bucket this is LAG and LEAD; the first and last row of a bucket take theirs from the edge of the nearest
     non-empty bucket, found in a table of one row per (key, bucket). `rows` come from `by_cell`; `also_read` names the
     columns of theirs that `value` does not depend on but the result does, so that both sides read the same exchange.
+    With `whole_key` all rows of a key are in one bucket, and LAG and LEAD are all there is.
     """
     order = ["_ts", *([tiebreak] if tiebreak else [])]
     by_time = Window.partitionBy(*_CELL).orderBy(*[F.col(c).asc_nulls_first() for c in order])
+    if whole_key:
+        named = {previous: F.lag, following: F.lead}
+        return rows.select("*", *[fn(value).over(by_time).alias(name) for name, fn in named.items() if name])
     instant, seen = F.struct(*order), F.struct(F.col(value).alias("v"), *also_read)
     edges = rows.groupBy(*_CELL).agg(F.min_by(seen, instant).alias("_first"), F.max_by(seen, instant).alias("_last"))
     by_bucket = Window.partitionBy(*_KEY).orderBy(_BUCKET)

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reqloom.functions.measures import flag, is_4xx, is_5xx, share, total, total_if, weight_of, weighted_mean, with_dims
 from reqloom.operators.errors import HOUR
 from reqloom.operators.ranking import Ranking, rank_within
-from reqloom.operators.rolling import BUCKET_SECONDS, Lookback, key_column, neighbours, rolling_counts
+from reqloom.operators.rolling import (
+    BUCKET_SECONDS,
+    ROWS_PER_KEY,
+    WHOLE_KEY,
+    Lookback,
+    key_column,
+    neighbours,
+    rolling_counts,
+    split_busy,
+)
 
 UNAUTHORIZED = 401
 FORBIDDEN = 403
@@ -68,8 +79,18 @@ def user_auth_errors_daily(requests: DataFrame) -> DataFrame:
     )
 
 
-def user_rolling_activity(requests: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Per request: the user's requests and server errors over the last hour, with the count before and after."""
+def user_rolling_activity(requests: DataFrame, rows_per_user: int = ROWS_PER_KEY) -> DataFrame:
+    """Per request: the user's requests and server errors over the last hour, with the count before and after.
+
+    Most users send few requests and are sorted whole; the few with more than `rows_per_user` are cut into buckets.
+    """
+    needed = requests.select("event_timestamp", "user_uid", "status_code")
+    ordinary, busy = split_busy(needed, "user_uid", rows_per_user)
+    parts = [(ordinary, WHOLE_KEY), (busy, BUCKET_SECONDS)]
+    return reduce(DataFrame.unionByName, [_rolling_activity(rows, width) for rows, width in parts if rows is not None])
+
+
+def _rolling_activity(requests: DataFrame, bucket_seconds: int) -> DataFrame:
     count = "rolling_requests_1h"
     rolled = rolling_counts(
         requests,
@@ -85,6 +106,7 @@ def user_rolling_activity(requests: DataFrame, bucket_seconds: int = BUCKET_SECO
         previous="prev_rolling_requests_1h",
         following="next_rolling_requests_1h",
         also_read=["rolling_5xx_1h"],
+        whole_key=bucket_seconds == WHOLE_KEY,
     )
     return trend.select(
         F.col("_ts").alias("event_timestamp"),

@@ -52,7 +52,7 @@ def expected(rows, seconds):
     return result
 
 
-@pytest.mark.parametrize("bucket_seconds", [1, 60, 3600])
+@pytest.mark.parametrize("bucket_seconds", [rolling.WHOLE_KEY, 1, 60, 3600])
 def test_rolling_counts(frame, rows, bucket_seconds):
     rolled = rolling_counts(frame, "k", "ts", flag(F.col("x") == 1), LOOKBACKS, bucket_seconds)
     for lookback in LOOKBACKS:
@@ -94,14 +94,27 @@ def test_the_row_shuffle_runs_once(requests):
     from reqloom.operators.errors import errors_rolling
     from reqloom.operators.users import user_rolling_activity
 
-    for operator in (errors_rolling, user_rolling_activity):
-        df = operator(requests)
+    for df in (errors_rolling(requests), user_rolling_activity(requests, rows_per_user=0)):
         df.collect()
         plan = df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
         assert plan.count("REPARTITION_BY_COL") - plan.count("ReusedExchange") <= 1
         assert "ReusedExchange" in plan
 
 
+def test_busy_users_are_cut_into_buckets(requests):
+    """Few, some and all users over the limit, and busy users too many to broadcast: the same rows."""
+    from reqloom.operators.users import user_rolling_activity
+
+    ordinary = rows_of(user_rolling_activity(requests))
+    counts = sorted(r["count"] for r in requests.groupBy("user_uid").count().collect())
+    assert counts[0] < counts[-1]
+    for limit in (0, counts[len(counts) // 2]):
+        assert rows_of(user_rolling_activity(requests, limit)) == ordinary
+    quiet, busy = rolling.split_busy(requests, "user_uid", counts[-1] - 1)
+    assert quiet.count() + busy.count() == requests.count() and busy.count() >= counts[-1]
+    assert rolling.split_busy(requests, "user_uid", 0, broadcast_bytes=0) == (None, requests)
+
+
 def test_time_zone_does_not_matter(spark, requests):
     from reqloom.operators.errors import errors_rolling
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reqloom.functions.measures import WEIGHT, cells, total, weighted_mean
+from reqloom.functions.measures import WEIGHT, cells, total, weighted_mean, with_dims
 from reqloom.operators.attach import attach_stats
 from reqloom.operators.percentiles import percentile_summary
 from reqloom.operators.ranking import Ranking, rank_within
@@ -19,7 +19,7 @@ def latency_summary(requests: DataFrame, keys: list[str], percents: dict[str, in
     """Requests, mean, max and percentiles of latency per `keys`."""
     weight, value = F.col(WEIGHT), F.col(LATENCY)
     return percentile_summary(
-        cells(requests, *keys, LATENCY),
+        with_dims(requests, *keys),
         keys,
         LATENCY,
         PERCENTS if percents is None else percents,

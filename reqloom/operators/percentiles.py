@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reqloom.functions.measures import WEIGHT
+from reqloom.functions.measures import WEIGHT, cells
 from reqloom.operators.attach import same_keys
 from reqloom.operators.prefix import sums_before
 
@@ -23,7 +23,7 @@ _PART = "_whole"
 
 
 def percentile_summary(
-    value_cells: DataFrame,
+    df: DataFrame,
     keys: Sequence[str],
     value: str,
     percents: Mapping[str, int],
@@ -32,18 +32,19 @@ def percentile_summary(
     any_scale: bool = False,
     single_task_rows: int | None = None,
 ) -> DataFrame:
-    """One row per `keys` with percentiles of `value`, each cell counting WEIGHT times.
+    """One row per `keys` with percentiles of `value`, over rows or over cells that count WEIGHT times.
 
     `percents` maps output names to whole percents. Discrete percentiles are the smallest value whose cumulative count
     reaches the percent; interpolated ones lie linearly between the two neighbours. Nulls and NaN do not count.
-    `extra` holds further aggregates over the same cells (`value` and WEIGHT are in scope).
+    `extra` holds further aggregates over the counts per (keys, value), which carry `value` and WEIGHT.
 
     Columns that are not milliseconds may have any number of distinct values in any range: `any_scale` stages the value
     counts and sums them by range when they are many (see prefix.sums_before). It is meant for few `keys`.
     """
-    ranked = _ranked_staged(value_cells, keys, value, single_task_rows) if any_scale else _ranked(
-        value_cells, keys, value
-    )
+    if _is_fractional(df, value):
+        df = df.withColumn(value, F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")))
+    counted = cells(df, *keys, value)
+    ranked = _ranked_staged(counted, keys, value, single_task_rows) if any_scale else _ranked(counted, keys, value)
     known = F.col(value).isNotNull()
     aggregates = dict(extra or {})
     if not interpolate:
@@ -75,37 +76,32 @@ def _is_fractional(df: DataFrame, value: str) -> bool:
     return isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType, T.DecimalType))
 
 
-def _counted(value_cells: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    if _is_fractional(value_cells, value):
-        value_cells = value_cells.withColumn(value, F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")))
-    return value_cells.groupBy(*keys, value).agg(F.sum(WEIGHT).alias(WEIGHT))
-
-
-def _ranked_staged(
-    value_cells: DataFrame, keys: Sequence[str], value: str, single_task_rows: int | None
-) -> DataFrame:
-    counted = _counted(value_cells, keys, value).where(F.col(value).isNotNull())
+def _ranked_staged(counted: DataFrame, keys: Sequence[str], value: str, single_task_rows: int | None) -> DataFrame:
+    counted = counted.where(F.col(value).isNotNull())
     before = sums_before(counted, keys, [F.col(value).asc()], {_CUM: F.col(WEIGHT)}, single_task_rows)
-    upto = before.withColumn(_CUM, F.col(_CUM) + F.col(WEIGHT))
     # one row per key, and the keys are few
-    totals = upto.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.max(_CUM).alias(_ALL))
+    totals = before.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum(WEIGHT).alias(_ALL))
+    upto = before.withColumn(_CUM, F.col(_CUM) + F.col(WEIGHT))
     return upto.join(F.broadcast(totals), same_keys(upto, totals, [(k, f"_k_{k}") for k in keys]))
 
 
-def _ranked(value_cells: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+def _ranked(counted: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Adds the cumulative count up to and including each value, and the count of all known values."""
-    fractional = _is_fractional(value_cells, value)
-    counted = _counted(value_cells, keys, value)
     known = F.when(F.col(value).isNotNull(), F.col(WEIGHT)).otherwise(F.lit(0))
-    whole = Window.partitionBy(*keys)
-    if not fractional:
-        upto = whole.orderBy(F.col(value).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    group = Window.partitionBy(*keys)
+    if not _is_fractional(counted, value):
+        # the same order for both sums, so that one pass makes them
+        ordered = group.orderBy(F.col(value).asc_nulls_last())
+        upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
         return counted.select("*", F.sum(known).over(upto).alias(_CUM), F.sum(known).over(whole).alias(_ALL))
 
     # An infinite value has no whole part of its own; its greatest or least one keeps the order.
     counted = counted.withColumn(_PART, F.floor(F.greatest(F.least(F.col(value), F.lit(9e18)), F.lit(-9e18))))
     parts = counted.groupBy(*keys, _PART).agg(F.sum(known).alias("_part_n"))
-    earlier = whole.orderBy(F.col(_PART).asc_nulls_last()).rowsBetween(Window.unboundedPreceding, -1)
+    ordered = group.orderBy(F.col(_PART).asc_nulls_last())
+    earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     offsets = parts.select(
         *[F.col(k).alias(f"_k_{k}") for k in keys],
         F.col(_PART).alias("_k_part"),

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reqloom.functions.measures import cells
 from reqloom.operators.percentiles import percentile_summary
 from reqloom.schemas import ISSUE, QUALITY_IQR_MULTIPLIER, QUALITY_Z_LIMIT
 
@@ -71,7 +70,7 @@ def iqr_bounds(
     """Interpolated quartiles and outlier bounds, one row per column."""
     long = df.select(*[known(c).alias(c) for c in columns]).unpivot([], list(columns), "column_name", "value")
     quartiles = percentile_summary(
-        cells(long.where(F.col("value").isNotNull()), "column_name", "value"),
+        long.where(F.col("value").isNotNull()),
         ["column_name"],
         "value",
         {"q1": 25, "q3": 75},

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reqloom.functions.measures import WEIGHT, cells, flag, share, total
+from reqloom.functions.measures import WEIGHT, flag, share, total, with_dims
 from reqloom.operators.errors import HOUR
 from reqloom.operators.latency import LATENCY
 from reqloom.operators.percentiles import percentile_summary
@@ -19,7 +19,7 @@ def sla_summary(requests: DataFrame, keys: list[str], percents: dict[str, int])
     """A request without latency counts in the denominator only."""
     weight = F.col(WEIGHT)
     return percentile_summary(
-        cells(requests, *keys, LATENCY),
+        with_dims(requests, *keys),
         keys,
         LATENCY,
         percents,

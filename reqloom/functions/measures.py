@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -46,6 +48,28 @@ def time_of(df: DataFrame) -> Column:
     return F.col("event_timestamp") if "event_timestamp" in df.columns else F.col("hour_ts")
 
 
+def in_time_range(
+    df: DataFrame, start: datetime | None = None, end: datetime | None = None, with_end: bool = True
+) -> DataFrame:
+    """Rows from `start` to `end`. A store partitioned by `event_date` is filtered on it too, so other days are not
+    read."""
+
+    def literal(moment: datetime) -> Column:
+        return F.lit(moment.isoformat(sep=" ")).cast("timestamp_ntz")
+
+    ts = time_of(df)
+    if start:
+        df = df.where(ts >= literal(start))
+    if end:
+        df = df.where(ts <= literal(end) if with_end else ts < literal(end))
+    if "event_date" in df.columns:
+        if start:
+            df = df.where(F.col("event_date") >= F.lit(start.date()))
+        if end:
+            df = df.where(F.col("event_date") <= F.lit(end.date()))
+    return df
+
+
 def hour_of(ts: Column) -> Column:
     return F.date_trunc("hour", ts).cast("timestamp_ntz")
 

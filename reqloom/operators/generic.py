@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 from reqloom.functions.measures import (
     WEIGHT,
     cells,
+    in_time_range,
     is_4xx,
     is_5xx,
     share,
-    time_of,
     total,
     total_if,
     weighted_mean,
@@ -67,12 +67,7 @@ def aggregate_metrics(
     unknown = [name for name in names if name not in known]
     if unknown:
         raise ValueError(f"unknown metrics: {unknown}")
-    ts = time_of(requests)
-    if start:
-        requests = requests.where(ts >= F.lit(start.isoformat(sep=" ")).cast("timestamp_ntz"))
-    if end:
-        requests = requests.where(ts <= F.lit(end.isoformat(sep=" ")).cast("timestamp_ntz"))
-
+    requests = in_time_range(requests, start, end)
     percents = {name: PERCENTS[name] for name in names if name in PERCENTS}
     plain = {name: column for name, column in _metrics().items() if name in names}
     needs_code = any(name.endswith("xx") for name in plain)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import UTC, datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,7 +136,7 @@ def normalize_log_entries(
 
 
 def _event_time(df: DataFrame, name: str, ingest_ts: datetime | None) -> Column:
-    now = F.lit((ingest_ts or datetime.utcnow()).isoformat(sep=" ")).cast("timestamp_ntz")
+    now = F.lit((ingest_ts or datetime.now(UTC).replace(tzinfo=None)).isoformat(sep=" ")).cast("timestamp_ntz")
     if name not in df.columns:
         return now
     column = F.col(name)

@@ -267,3 +267,31 @@ def running_mean(requests: DataFrame, key: str, value: str) -> DataFrame:
         count.alias("running_count"),
         F.try_divide(F.col("_s") + F.col("_in_s"), count).alias("running_mean"),
     )
+
+
+def update_running_means(state: DataFrame, batch: DataFrame, key: str, value: str) -> DataFrame:
+    """Stored means per key (`key`, `running_mean`, `running_count`) after the values of a batch.
+
+    The batch is summed per key first, so each key meets its state once. A negative stored count fails the job.
+    """
+    new = batch.groupBy(F.col(key).alias("_new_key")).agg(
+        F.coalesce(F.sum(F.col(value).cast("double")), F.lit(0.0)).alias("_sum"), F.count(value).alias("_count")
+    )
+    stored = state.select(
+        F.col(key),
+        F.col("running_mean"),
+        F.when(F.col("running_count") < 0, F.raise_error(F.lit("Count must be >= 0")).cast("bigint"))
+        .otherwise(F.col("running_count"))
+        .alias("running_count"),
+    )
+    joined = stored.join(new, stored[key].eqNullSafe(new["_new_key"]), "full")
+    old_count = F.coalesce(F.col("running_count"), F.lit(0))
+    new_count = F.coalesce(F.col("_count"), F.lit(0))
+    count = old_count + new_count
+    mean = F.coalesce(F.col("running_mean"), F.lit(0.0))
+    shift = F.coalesce(F.col("_sum"), F.lit(0.0)) - mean * new_count
+    return joined.select(
+        F.coalesce(F.col(key), F.col("_new_key")).alias(key),
+        F.when(count > 0, mean + F.coalesce(F.try_divide(shift, count), F.lit(0.0))).alias("running_mean"),
+        count.alias("running_count"),
+    )

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqloom.functions.measures import cells
+from reqloom.functions.measures import cells, in_time_range
 from reqloom.operators import anomaly, errors, latency, local, sla, status, users
 from reqloom.operators.consistency import ConsistencyError, consistency_report
 from reqloom.operators.drift import as_monitoring, drift_report
@@ -149,12 +149,7 @@ def drift_between(
 ) -> tuple[DataFrame, DataFrame] | None:
     """Drift between two time ranges [start, end) of the request table; None when either range has no rows."""
 
-    def between(span: tuple[datetime, datetime]) -> DataFrame:
-        start, end = (F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in span)
-        ts = F.col("event_timestamp")
-        return as_monitoring(requests.where((ts >= start) & (ts < end)))
-
-    ref, cur = between(reference), between(current)
+    ref, cur = (as_monitoring(in_time_range(requests, *span, with_end=False)) for span in (reference, current))
     if ref.isEmpty() or cur.isEmpty():
         return None
     return drift_report(ref, cur, strict=strict)

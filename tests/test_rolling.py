@@ -124,3 +124,13 @@ def test_time_zone_does_not_matter(spark, requests):
         assert rows_of(errors_rolling(requests)) == utc
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_update_running_means(spark):
+    state = spark.createDataFrame([("a", 10.0, 2), ("b", 5.0, 1), (None, 1.0, 1)], "k string, running_mean double, running_count bigint")
+    batch = spark.createDataFrame([("a", 40.0), ("c", 7.0), (None, 3.0), ("b", None)], "k string, v double")
+    got = {r["k"]: (r["running_mean"], r["running_count"]) for r in rolling.update_running_means(state, batch, "k", "v").collect()}
+    assert got == {"a": (20.0, 3), "b": (5.0, 1), "c": (7.0, 1), None: (2.0, 2)}
+    broken = state.withColumn("running_count", F.lit(-1).cast("bigint"))
+    with pytest.raises(Exception, match="Count must be"):
+        rolling.update_running_means(broken, batch, "k", "v").collect()

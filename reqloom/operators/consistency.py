@@ -16,10 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reqloom.functions import text
-from reqloom.schemas import ISSUE, MAX_ERROR_RATIO, RATE_TOLERANCE
+from reqloom.schemas import ERROR, ISSUE, MAX_ERROR_RATIO, RATE_TOLERANCE, RULES, WARNING
 
 REQUIRED = ("timestamp", "endpoint", "status_code")
-ERROR, WARNING = "error", "warning"
 
 
 class ConsistencyError(ValueError):
@@ -100,14 +99,17 @@ def _as_text(field: T.StructField) -> Column:
 
 @dataclass(frozen=True)
 class Rule:
-    """A row breaks the rule where `broken` is true."""
+    """A row breaks the rule where `broken` is true; `subject` completes the message."""
 
     name: str
-    level: str
-    message: str
     broken: Column
+    subject: str = ""
     details: Mapping[str, Column] = field(default_factory=dict)
 
+    @property
+    def level(self) -> str:
+        return RULES[self.name][0]
+
     def is_broken(self) -> Column:
         return F.coalesce(self.broken, F.lit(False))
 
@@ -117,7 +119,7 @@ class Rule:
         issue = F.struct(
             F.lit(self.name).alias("rule"),
             F.lit(self.level).alias("level"),
-            F.lit(self.message).alias("message"),
+            F.lit(RULES[self.name][1].format(self.subject)).alias("message"),
             details.cast("map<string,string>").alias("details"),
         )
         return F.when(self.broken, issue)
@@ -139,50 +141,47 @@ def row_rules(rows: DataFrame) -> list[Rule]:
     rules = []
     for name in REQUIRED:
         missing = F.col(name).isNull() if name in kinds else F.lit(True)
-        rules.append(Rule("schema", ERROR, f"Missing field: {name}", missing))
+        rules.append(Rule("schema", missing, name))
 
     if "timestamp" in kinds and not isinstance(
         kinds["timestamp"], (T.StringType, T.TimestampType, T.TimestampNTZType, T.DateType)
     ):
         wrong = F.col("timestamp").isNotNull()
-        rules.append(Rule("type_timestamp", ERROR, "timestamp must be string or datetime", wrong))
+        rules.append(Rule("type_timestamp", wrong))
     code, latency = number("status_code"), number("latency")
     total, success, rate = number("total_requests"), number("success_requests"), number("success_rate")
     if code is not None and not isinstance(kinds["status_code"], T.IntegralType):
         is_text = isinstance(kinds["status_code"], T.StringType)
         whole = F.col("status_code").try_cast("bigint") if is_text else F.lit(None)
         wrong = F.col("status_code").isNotNull() & whole.isNull()
-        rules.append(Rule("type_status_code", ERROR, "status_code must be int", wrong))
+        rules.append(Rule("type_status_code", wrong))
     if latency is not None:
         unreadable = F.col("latency").isNotNull() & latency.isNull()
         if not isinstance(kinds["latency"], T.NumericType):
-            rules.append(Rule("type_latency", ERROR, "latency must be numeric", unreadable))
+            rules.append(Rule("type_latency", unreadable))
 
     has_counts = all(c is not None for c in (total, success, rate))
     if has_counts:
         computed = F.try_divide(success, total)
         apart = (total > 0) & ~F.isnan(rate) & (F.abs(computed - rate) > RATE_TOLERANCE)
-        message = "Mismatch between computed and reported success_rate"
-        rules.append(Rule("cross_success_rate", WARNING, message, apart))
+        rules.append(Rule("cross_success_rate", apart))
     if code is not None:
-        outside = ~code.between(100, 599)
-        rules.append(Rule("business_status_code", ERROR, "status_code must be between 100 and 599", outside))
+        rules.append(Rule("business_status_code", ~code.between(100, 599)))
     if latency is not None:
-        rules.append(Rule("business_latency", ERROR, "latency must be >= 0", latency < 0))
-        rules.append(Rule("metric_latency", ERROR, "Latency must be >= 0", unreadable | (latency < 0)))
+        rules.append(Rule("business_latency", latency < 0))
+        rules.append(Rule("metric_latency", unreadable | (latency < 0)))
     if rate is not None:
-        outside = ~rate.between(0, 1)
-        rules.append(Rule("metric_success_rate", ERROR, "success_rate must be between 0 and 1", outside))
+        rules.append(Rule("metric_success_rate", ~rate.between(0, 1)))
     if total is not None and success is not None:
-        rules.append(Rule("metric_counts", ERROR, "success_requests > total_requests", success > total))
+        rules.append(Rule("metric_counts", success > total))
     if has_counts:
         details = {"computed": computed, "reported": rate}
-        rules.append(Rule("metric_consistency", WARNING, "success_rate inconsistent with counts", apart, details))
+        rules.append(Rule("metric_consistency", apart, details=details))
     repeats = [condition for condition, _ in _repeats(rows)]
     if repeats:
         details = {"values": F.array_join(repeated_values(rows), ", ")}
         any_repeat = reduce(lambda a, b: a | b, repeats)
-        rules.append(Rule("duplicates", WARNING, "Duplicate values detected", any_repeat, details))
+        rules.append(Rule("duplicates", any_repeat, details=details))
     return rules
 
 
@@ -262,9 +261,9 @@ def check_input_file(spark: SparkSession, path: str) -> DataFrame:
         files = spark.read.format("binaryFile").load(path).select("path").limit(2)
         named = [row["path"] for row in files.collect()]
         if not (len(named) == 1 and named[0].rstrip("/").endswith("/" + path.rstrip("/").rsplit("/", 1)[-1])):
-            issues.append(("file_type", ERROR, "Path is not a file", {}))
+            issues.append(("file_type", *RULES["file_type"], {}))
     except AnalysisException as error:
         if "PATH_NOT_FOUND" not in str(error):
             raise
-        issues.append(("file_exists", ERROR, "File does not exist", {"file": path}))
+        issues.append(("file_exists", *RULES["file_exists"], {"file": path}))
     return spark.createDataFrame(issues, ISSUE)

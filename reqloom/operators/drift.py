@@ -15,7 +15,7 @@ from reqloom.functions.pvalues import chi2_p_value, ks_p_value
 from reqloom.operators.generic import severity
 from reqloom.operators.prefix import sums_before
 from reqloom.operators.quality import known
-from reqloom.schemas import DRIFT_HIGH, DRIFT_MEDIUM, DRIFT_P_VALUE
+from reqloom.schemas import DRIFT_HIGH, DRIFT_MEDIUM, DRIFT_P_VALUE, RULES
 
 # Tested metric -> the series behind it. Mean and deviation both stand for the raw latency.
 METRIC_SERIES = {
@@ -179,14 +179,18 @@ def drift_report(
             statistic, degrees = (row["chi2"], row["degrees"]) if row else (0.0, 0)
             tests.append(("drift_categorical", name, statistic, chi2_p_value(statistic, degrees)))
 
-    rows = [(rule, metric, float(s), float(p), p < p_value_threshold) for rule, metric, s, p in tests]
+    rows = []
+    for rule, metric, statistic, p in tests:
+        is_drift = p < p_value_threshold
+        message = RULES[rule][1].format(metric) if is_drift else None
+        rows.append((rule, metric, float(statistic), float(p), is_drift, message))
     drifted = sum(row[4] for row in rows)
     score = 1.0 - drifted / len(rows)
     if strict and score < 1.0:
         raise DriftError("Data drift detected")
     metrics = spark.createDataFrame(
-        rows, "rule string, metric string, statistic double, p_value double, drifted boolean"
-    ).withColumn("message", F.when(F.col("drifted"), F.concat(F.lit("Drift detected in metric "), F.col("metric"))))
+        rows, "rule string, metric string, statistic double, p_value double, drifted boolean, message string"
+    )
     summary = spark.createDataFrame(
         [(True, 0, drifted, score)], "is_drift_ok boolean, errors bigint, warnings bigint, drift_score double"
     ).withColumn("severity", drift_severity(1 - F.col("drift_score")))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from reqloom.operators.percentiles import percentile_summary
-from reqloom.schemas import ISSUE, QUALITY_IQR_MULTIPLIER, QUALITY_Z_LIMIT
+from reqloom.schemas import ERROR, ISSUE, QUALITY_IQR_MULTIPLIER, QUALITY_Z_LIMIT, RULES
 
 INFINITY = float("inf")
 
@@ -119,10 +119,12 @@ def invalid_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return wide.unpivot([], list(columns), "column_name", "invalid_count")
 
 
-_METHODS = {
-    "zscore": ("zscore_outliers", "Outliers detected in column {}"),
-    "iqr": ("iqr_outliers", "IQR outliers detected in column {}"),
-}
+_METHODS = {"zscore": "zscore_outliers", "iqr": "iqr_outliers"}
+
+
+def _issue(rule: str, column: str, count: int) -> tuple:
+    level, message = RULES[rule]
+    return rule, level, message.format(column), {"count": str(count)}
 
 
 def quality_report(
@@ -159,14 +161,11 @@ def quality_report(
         if counts["_rows"] == 0:
             raise QualityError("Series is empty")
         score = 1.0 - counts["_bad"] / counts["_rows"]
-        rule, message = _METHODS[method]
         for i, name in enumerate(columns):
-            if counts[f"invalid_{i}"]:
-                details = {"count": str(counts[f"invalid_{i}"])}
-                issues.append(("invalid_values", "error", f"NaN or inf detected in {name}", details))
-            if counts[f"outlier_{i}"]:
-                issues.append((rule, "warning", message.format(name), {"count": str(counts[f"outlier_{i}"])}))
-    errors = sum(level == "error" for _, level, _, _ in issues)
+            for rule, count in (("invalid_values", counts[f"invalid_{i}"]), (_METHODS[method], counts[f"outlier_{i}"])):
+                if count:
+                    issues.append(_issue(rule, name, count))
+    errors = sum(level == ERROR for _, level, _, _ in issues)
     if strict and errors:
         raise QualityError("Data quality failed")
     summary = spark.createDataFrame(

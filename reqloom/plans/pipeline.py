@@ -19,6 +19,7 @@ from reqloom.sources.writers import define_view, replace_table, write_requests
 
 Builder = Callable[[DataFrame], DataFrame]
 
+# The table names of the three groups below.
 # Built from counts per hour, path, code and latency, which one scan of the requests makes.
 FROM_CELLS: dict[str, Builder] = {
     "latency_kpis_view": latency.latency_kpis,

@@ -46,6 +46,31 @@ DRIFT_P_VALUE = 0.05
 DRIFT_MEDIUM = 0.2
 DRIFT_HIGH = 0.5
 
+# Rule, level and message of every check.
+ERROR = "error"
+WARNING = "warning"
+RULES = {
+    "file_exists": (ERROR, "File does not exist"),
+    "file_type": (ERROR, "Path is not a file"),
+    "schema": (ERROR, "Missing field: {}"),
+    "type_timestamp": (ERROR, "timestamp must be string or datetime"),
+    "type_status_code": (ERROR, "status_code must be int"),
+    "type_latency": (ERROR, "latency must be numeric"),
+    "cross_success_rate": (WARNING, "Mismatch between computed and reported success_rate"),
+    "business_status_code": (ERROR, "status_code must be between 100 and 599"),
+    "business_latency": (ERROR, "latency must be >= 0"),
+    "metric_latency": (ERROR, "Latency must be >= 0"),
+    "metric_success_rate": (ERROR, "success_rate must be between 0 and 1"),
+    "metric_counts": (ERROR, "success_requests > total_requests"),
+    "metric_consistency": (WARNING, "success_rate inconsistent with counts"),
+    "duplicates": (WARNING, "Duplicate values detected"),
+    "invalid_values": (ERROR, "NaN or inf detected in {}"),
+    "zscore_outliers": (WARNING, "Outliers detected in column {}"),
+    "iqr_outliers": (WARNING, "IQR outliers detected in column {}"),
+    "drift_numeric": (WARNING, "Drift detected in metric {}"),
+    "drift_categorical": (WARNING, "Drift detected in metric {}"),
+}
+
 REQUESTS = T.StructType(
     [
         T.StructField("event_timestamp", T.TimestampNTZType()),

@@ -185,3 +185,14 @@ def drift_sample(spark: SparkSession, folder: str, current: bool) -> DataFrame:
         (F.col("latency_ms") / 10).alias("latency"),
         F.col("payload_size").cast("double").alias("payload_size"),
     )
+
+
+def line_sample(spark: SparkSession, folder: str, current: bool) -> DataFrame:
+    """Order lines of odd or even orders under monitoring names: samples large enough for the limiting distribution."""
+    lines = table(spark, folder, "lineitem").where(F.col("l_orderkey") % 2 == (0 if current else 1))
+    return lines.select(
+        F.col("l_returnflag").alias("endpoint"),
+        (F.col("l_linenumber") * 100).alias("status_code"),
+        F.col("l_quantity").alias("latency"),
+        F.col("l_extendedprice").alias("payload_size"),
+    )

@@ -227,9 +227,13 @@ WITH s AS (
 
 
 def _ks(column: str) -> str:
+    return f"SELECT '{column}' AS metric, n_ref, n_cur, round(d, 6) AS ks_statistic FROM ({_ks_raw(column)})"
+
+
+def _ks_raw(column: str) -> str:
     return f"""
-SELECT '{column}' AS metric, CAST(max(n_ref) AS BIGINT) AS n_ref, CAST(max(n_cur) AS BIGINT) AS n_cur,
-  round(max(abs(c_ref / n_ref - c_cur / n_cur)), 6) AS ks_statistic
+SELECT CAST(max(n_ref) AS BIGINT) AS n_ref, CAST(max(n_cur) AS BIGINT) AS n_cur,
+  max(abs(c_ref / n_ref - c_cur / n_cur)) AS d
 FROM (
   SELECT sum(r) OVER (ORDER BY v) AS c_ref, sum(c) OVER (ORDER BY v) AS c_cur, sum(r) OVER () AS n_ref,
     sum(c) OVER () AS n_cur
@@ -237,18 +241,49 @@ FROM (
 )"""
 
 
-def _chi2(column: str) -> str:
+def _chi2(column: str, digits: int = 6) -> str:
     return f"""
 SELECT '{column}' AS column_name, CAST(max(n_ref) AS BIGINT) AS n_ref, CAST(max(n_cur) AS BIGINT) AS n_cur,
   max(cats) AS n_categories, max(cats) - 1 AS degrees,
   round(sum(pow(r - n_ref * (r + c) / (n_ref + n_cur), 2) / (n_ref * (r + c) / (n_ref + n_cur))
-    + pow(c - n_cur * (r + c) / (n_ref + n_cur), 2) / (n_cur * (r + c) / (n_ref + n_cur))), 6) AS chi2
+    + pow(c - n_cur * (r + c) / (n_ref + n_cur), 2) / (n_cur * (r + c) / (n_ref + n_cur))), {digits}) AS chi2
 FROM (
   SELECT r, c, sum(r) OVER () AS n_ref, sum(c) OVER () AS n_cur, count(*) OVER () AS cats
   FROM (SELECT {column} AS v, count(*) FILTER (is_ref) AS r, count(*) FILTER (NOT is_ref) AS c FROM s GROUP BY v)
 )"""
 
 
+def _drift_report() -> str:
+    """Tests on samples over 10,000 rows: limiting distribution; even degrees of freedom: a finite sum."""
+    numeric = {"latency_mean": "latency", "latency_std": "latency", "is_error": "is_error", "payload_size": "payload_size"}
+    distances = [f"SELECT '{m}' AS metric, n_ref, n_cur, d FROM ({_ks_raw(c)})" for m, c in numeric.items()]
+    distances.append(
+        "SELECT 'request_count', count(*) FILTER (is_ref), count(*) FILTER (NOT is_ref), "
+        "CASE WHEN count(*) FILTER (is_ref) = count(*) FILTER (NOT is_ref) THEN 0.0 ELSE 1.0 END FROM s"
+    )
+    return f"""
+WITH s AS (
+  SELECT l_returnflag AS endpoint, l_linenumber * 100 AS status_code, l_quantity AS latency,
+    l_extendedprice AS payload_size, CAST(l_linenumber * 100 >= 400 AS INTEGER) AS is_error, l_orderkey % 2 = 1 AS is_ref
+  FROM lineitem
+),
+ks AS (SELECT *, d * sqrt(n_ref * (n_cur / (n_ref + n_cur))) AS x FROM ({" UNION ALL ".join(distances)})),
+ks_p AS (
+  SELECT 'drift_numeric' AS rule, metric, d AS statistic, CASE WHEN x < 0.2 THEN 1.0 ELSE least(1.0, greatest(0.0,
+    2 * list_sum([pow(-1, k - 1) * exp(-2.0 * k * k * x * x) FOR k IN range(1, 101)]))) END AS p
+  FROM ks
+),
+chi2 AS ({_chi2("endpoint", 15)} UNION ALL {_chi2("status_code", 15)}),
+chi2_p AS (
+  SELECT 'drift_categorical' AS rule, column_name AS metric, chi2 AS statistic, exp(-chi2 / 2)
+    * list_sum([pow(chi2 / 2, i) / gamma(i + 1) FOR i IN range(0, CAST(degrees / 2 AS BIGINT))]) AS p
+  FROM chi2
+)
+SELECT rule, metric, round(statistic, 6) AS statistic, round(p, 6) AS p_value, p < CAST(0.05 AS DOUBLE) AS drifted,
+  CASE WHEN p < CAST(0.05 AS DOUBLE) THEN 'Drift detected in metric ' || metric END AS message
+FROM (SELECT * FROM ks_p UNION ALL SELECT * FROM chi2_p)"""
+
+
 _VALUE_STATS = "(SELECT avg(value) AS m, stddev_pop(value) AS sd FROM e)"
 _VALUE_IQR = "(SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM e)"
 _CODES = (200, 201, 204, 401, 403, 404, 422, 429, 500, 503)
@@ -651,6 +686,7 @@ SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|
         count(*) > 0 AS is_non_empty, count(*) = 10000 AS is_count_ok FROM events""",
     "drift_ks_stat": _sql(f"{_SAMPLES} {_ks('latency')} UNION ALL {_ks('payload_size')}"),
     "drift_chi2_stat": _sql(f"{_SAMPLES} {_chi2('endpoint')} UNION ALL {_chi2('status_code')}"),
+    "drift_report_lines": _drift_report(),
     "drift_features": _sql(
         f"""{_SAMPLES}
         SELECT round(latency, 6) AS latency_mean, round(latency, 6) AS latency_std, status_code >= 400 AS is_error,

@@ -256,6 +256,11 @@ def drift_report(spark: SparkSession, folder: str) -> DataFrame:
     return drift.drift_report(*_samples(spark, folder))[1]
 
 
+def drift_report_lines(spark: SparkSession, folder: str) -> DataFrame:
+    ref, cur = (inputs.line_sample(spark, folder, current) for current in (False, True))
+    return rounded(drift.drift_report(ref, cur)[1])
+
+
 def drift_severity(spark: SparkSession, folder: str) -> DataFrame:
     """Relative change of each status code's share between the halves, graded."""
     ref, cur = _samples(spark, folder)
@@ -343,5 +348,6 @@ QUERIES: dict[str, Query] = {
     "drift_chi2_stat": drift_chi2_stat,
     "drift_features": drift_features,
     "drift_report": drift_report,
+    "drift_report_lines": drift_report_lines,
     "drift_severity": drift_severity,
 }

@@ -610,8 +610,8 @@ SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|
         "count({c}) AS n, round(avg({c}), 4) AS mean, round(stddev_pop({c}), 4) AS std"
     ),
     "iqr_bounds": " UNION ALL ".join(
-        f"""SELECT '{c}' AS column_name, round(q1, 4) AS q1, round(q3, 4) AS q3, round(q1 - 1.5 * (q3 - q1), 4) AS lower,
-        round(q3 + 1.5 * (q3 - q1), 4) AS upper FROM (
+        f"""SELECT '{c}' AS column_name, round(q1, 6) AS q1, round(q3, 6) AS q3, round(q1 - 1.5 * (q3 - q1), 6) AS lower,
+        round(q3 + 1.5 * (q3 - q1), 6) AS upper FROM (
           SELECT quantile_cont(CAST({c} AS DOUBLE), 0.25) AS q1, quantile_cont(CAST({c} AS DOUBLE), 0.75) AS q3
           FROM lineitem)"""
         for c in _LINE_COLUMNS

@@ -152,7 +152,7 @@ def column_stats(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def iqr_bounds(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(quality.iqr_bounds(inputs.table(spark, folder, "lineitem"), LINE_COLUMNS), 4)
+    return rounded(quality.iqr_bounds(inputs.table(spark, folder, "lineitem"), LINE_COLUMNS))
 
 
 def extremes(spark: SparkSession, folder: str) -> DataFrame:

@@ -6,9 +6,7 @@ that size. Only aggregated tables are staged, never the request rows.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,26 +20,24 @@ _ROW_BYTES = 64
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by spark.checkpoint.dir; a temporary one only for a local session that names none."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-    return _local_folder()
+    """Folder named by spark.checkpoint.dir; where none is named, one in the warehouse, which is shared as well."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named.rstrip("/") if named else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged"
 
 
-@cache
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="reqloom-")
+def new_path(spark: SparkSession) -> str:
+    """A fresh path in the shared folder; what is written there goes when the session's JVM ends."""
+    path = f"{shared_folder(spark)}/reqloom-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Writes the frame to the shared folder and returns the written table."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/reqloom-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = new_path(df.sparkSession)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def staged_bytes(staged: DataFrame) -> int:

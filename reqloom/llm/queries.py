@@ -10,11 +10,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqloom.llm import line_dedup, mixing, near_dedup, packing, quality, quality_rules
+from reqloom.llm import line_dedup, lm_scoring, mixing, near_dedup, packing, quality, quality_rules
 from reqloom.llm.shared import fold, table
 from reqloom.operators.staging import stage
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document under word frequencies and under context-tree weighting."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", (fold("doc_id", 10) == 0).alias("held_out"))
+    return lm_scoring.score(docs)
+
+
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes from each document."""
     draws, documents = mixing.mix(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -67,6 +73,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_mixing": op2_mixing,
     "op3_packing": op3_packing,
     "op5_near_dedup": op5_near_dedup,

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqloom.llm import line_dedup, lm_scoring, mixing, near_dedup, packing, quality, quality_rules
+from reqloom.llm import line_dedup, lm_scoring, mixing, near_dedup, packing, personal_data, quality, quality_rules, secret_scan, top_k
 from reqloom.llm.shared import fold, table
 from reqloom.operators.staging import stage
 
@@ -35,6 +35,12 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every candidate secret with the forest's verdict; the run itself stays out of the result."""
+    found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "position", F.length("run").alias("length"), F.sha2("run", 256).alias("run_sha256"), "score", "is_secret")
+
+
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of every document."""
     classes = near_dedup.near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -61,6 +67,24 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
 
 
+def _is(number: int):
+    return lambda value: value == number
+
+
+def op8_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and digest of the base spans, and all spans."""
+    found = personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = F.transform("base", lambda span: span["kind"])
+    counts = [F.size(F.filter(kinds, _is(k))).cast("long").alias(f"n_{name}") for k, name in enumerate(personal_data.KINDS)]
+    digest = F.sha2(personal_data.written(F.col("base")), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, personal_data.written(F.col("spans")).alias("spans"))
+
+
+def op9_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors of every vector whose id is divisible by 50."""
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts per document, and the verdict of counts and likelihood ratio."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -76,13 +100,28 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_mixing": op2_mixing,
     "op3_packing": op3_packing,
+    "op4_secret_scan": op4_secret_scan,
     "op5_near_dedup": op5_near_dedup,
     "op6_quality": op6_quality,
     "op7_line_dedup": op7_line_dedup,
+    "op8_personal_data": op8_personal_data,
+    "op9_top_k": op9_top_k,
     "op10_quality_rules": op10_quality_rules,
 }
 
 ORACLE: dict[str, str] = {
+    "op9_top_k": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM v q, v c WHERE q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+), r AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
+)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""",
     "op7_line_dedup": """
 WITH lines AS (
   SELECT doc_id, rn, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at

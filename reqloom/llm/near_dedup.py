@@ -28,7 +28,7 @@ from reqloom.operators.staging import stage
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 24
-BAND_ROWS = 3
+BAND_ROWS = 4
 #: Pairs whose signatures agree less are not verified: five standard deviations below the similarity.
 ESTIMATE = 0.5
 NEIGHBOURS = 2
@@ -190,8 +190,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
         buckets.select(F.col("head").alias("a"), F.col("node").alias("b")).where("a != b").union(neighbours(buckets)).distinct()
     )
     sets = stage(_sets(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi")))
-    stars = buckets.select(F.col("head").alias("a"), F.col("node").alias("b")).where("a != b").distinct()
-    links = stage(verified(stars, nodes, sets, similarity))
+    # one pair per node first, with the least head of its buckets; then what still lies between classes
+    first = buckets.groupBy("node").agg(F.min("head").alias("a")).select("a", F.col("node").alias("b")).where("a != b")
+    links = stage(verified(first, nodes, sets, similarity))
     roots = components(links)
     others = _between(candidates, roots)
     links = stage(links.union(verified(others, nodes, sets, similarity)))

@@ -194,7 +194,8 @@ def mix(docs: DataFrame, plan: Plan = Plan()) -> tuple[DataFrame, DataFrame]:
     low = F.greatest(F.col("start"), F.col("cut") * plan.block)
     high = F.least(F.col("start") + F.col("size"), (F.col("cut") + 1) * plan.block)
     pieces = touched.select("doc_id", "text_key", "size", "_row", "_s", (F.col("first_block") + F.col("cut")).alias("_n"), (low - F.col("start")).alias("first_word"), (high - low).alias("words"), low.alias("part"))
-    drawn = pieces.join(turns, F.col("_s").eqNullSafe(F.col("source")) & (F.col("_n") == F.col("number")))
+    # the blocks' number is not seen in the plan: without the hint a range of few shards looks small enough to broadcast
+    drawn = pieces.join(turns.hint("merge"), F.col("_s").eqNullSafe(F.col("source")) & (F.col("_n") == F.col("number")))
     place = F.xxhash64(F.lit(plan.seed), "shard", "source", "turn").alias("place")
     return drawn.select("doc_id", "source", "text_key", "size", "_row", "first_word", "words", "shard", place, "part"), documents
 

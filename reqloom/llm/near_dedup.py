@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -32,6 +32,9 @@ BAND_ROWS = 4
 #: Pairs whose signatures agree less are not verified: five standard deviations below the similarity.
 ESTIMATE = 0.5
 NEIGHBOURS = 2
+#: Pairs that differ in more of the signature's bits are not compared further: at the similarity a bit differs with
+#: a chance of a tenth, so this is near five standard deviations above what is expected.
+DIFFERENT = 24
 #: A bucket of at most so many nodes pairs all of them that are in different classes.
 SMALL = 48
 
@@ -75,7 +78,10 @@ def signatures(shingles: np.ndarray, weights: np.ndarray, bounds: np.ndarray, le
 
 
 def signed(docs: DataFrame) -> DataFrame:
-    """doc_id, `text_key` (md5 of the text), `digest` (md5 of its lower-cased words), `n` shingles, `signature`."""
+    """doc_id, `text_key` (md5 of the text), `digest` (md5 of its lower-cased words), `n` shingles, `signature`.
+
+    `b0` and `b1` hold one bit of each component of the signature.
+    """
     length = BANDS * BAND_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -85,14 +91,23 @@ def signed(docs: DataFrame) -> DataFrame:
             rows = signatures(shingles, 1 + np.log(counts), bounds, length).astype(np.uint32).view(np.int32)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * length), pa.array(rows.ravel()))
             digest = pa.array([hashlib.md5(b" ".join(text.split())).digest() for text in texts], pa.binary())
+            bits = np.zeros((len(texts), 128), dtype=np.uint8)
+            bits[:, :length] = rows & 1
+            words64 = np.packbits(bits, axis=1).view(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [block.column("doc_id"), block.column("text_key"), digest, pa.array(np.diff(bounds)), flat],
-                names=["doc_id", "text_key", "digest", "n", "signature"],
+                [block.column("doc_id"), block.column("text_key"), digest, pa.array(np.diff(bounds)), flat, *[pa.array(words64[:, i]) for i in range(2)]],
+                names=["doc_id", "text_key", "digest", "n", "signature", "b0", "b1"],
             )
 
     source = docs.select("doc_id", F.md5(F.coalesce(F.col("text"), F.lit(""))).alias("text_key"), F.col("text").alias("_text"))
     fields = [source.schema["doc_id"], StructField("text_key", StringType()), StructField("digest", BinaryType())]
-    return source.mapInArrow(run, StructType([*fields, StructField("n", LongType()), StructField("signature", ArrayType(IntegerType()))]))
+    sketch = [StructField("signature", ArrayType(IntegerType())), StructField("b0", LongType()), StructField("b1", LongType())]
+    return source.mapInArrow(run, StructType([*fields, StructField("n", LongType()), *sketch]))
+
+
+def alike(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
+    """Whether two texts' bits differ little enough for the signatures to be compared."""
+    return F.bit_count(a[0].bitwiseXOR(b[0])) + F.bit_count(a[1].bitwiseXOR(b[1])) <= DIFFERENT
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -126,19 +141,20 @@ def neighbours(buckets: DataFrame, distance: int = NEIGHBOURS) -> DataFrame:
     """Pairs (a, b) of nodes at most `distance` apart in a bucket's order. Sorted ranges, so a large bucket is many tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keys, nodes = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        held = [np.zeros(0, np.int64)] * 4
         for batch in batches:
-            keys = np.concatenate((keys[-distance:], batch.column("bucket").to_numpy()))
-            nodes = np.concatenate((nodes[-distance:], batch.column("node").to_numpy()))
+            held = [np.concatenate((old[-distance:], batch.column(name).to_numpy())) for old, name in zip(held, ("bucket", "node", "b0", "b1"))]
+            keys, nodes, b0, b1 = held
             pairs = []
             for gap in range(1, distance + 1):
-                same = keys[gap:] == keys[:-gap]
+                differ = sum(np.bitwise_count((b[gap:] ^ b[:-gap]).view(np.uint64)).astype(np.int64) for b in (b0, b1))
+                same = (keys[gap:] == keys[:-gap]) & (differ <= DIFFERENT)
                 pairs.append((nodes[:-gap][same], nodes[gap:][same]))
             a, b = (np.concatenate([p[i] for p in pairs]) for i in range(2))
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
 
     ordered = buckets.repartitionByRange("bucket", "rest", "node").sortWithinPartitions("bucket", "rest", "node")
-    return ordered.select("bucket", "node").mapInArrow(run, "a long, b long").where("a != b")
+    return ordered.select("bucket", "node", "b0", "b1").mapInArrow(run, "a long, b long").where("a != b")
 
 
 def verified(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -172,8 +188,8 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     rows = stage(signed(docs).withColumn("row", F.monotonically_increasing_id()))
     nodes = stage(
         rows.groupBy("digest")
-        .agg(F.min_by(F.struct("row", "text_key", "n", "signature"), "row").alias("first"))
-        .select("digest", F.col("first.row").alias("node"), "first.text_key", "first.n", "first.signature")
+        .agg(F.min_by(F.struct("row", "text_key", "n", "signature", "b0", "b1"), "row").alias("first"))
+        .select("digest", F.col("first.row").alias("node"), *[f"first.{c}" for c in ("text_key", "n", "signature", "b0", "b1")])
     )
     shingled = nodes.where("n > 0")
     bands = F.transform(
@@ -183,21 +199,22 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
             F.xxhash64(F.slice("signature", ((i + 1) % BANDS) * BAND_ROWS + 1, F.lit(1))).alias("rest"),
         ),
     )
-    every = shingled.select("node", F.posexplode(bands).alias("band", "at")).select("node", "band", "at.bucket", "at.rest")
-    heads = every.groupBy("bucket").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("held")).where("held > 1")
+    every = shingled.select("node", "b0", "b1", F.posexplode(bands).alias("band", "at")).select("node", "b0", "b1", "band", "at.bucket", "at.rest")
+    heads = every.groupBy("bucket").agg(F.min(F.struct("node", "b0", "b1")).alias("head"), F.count(F.lit(1)).alias("held")).where("held > 1")
     buckets = stage(every.join(heads, "bucket"))
-    candidates = stage(
-        buckets.select(F.col("head").alias("a"), F.col("node").alias("b")).where("a != b").union(neighbours(buckets)).distinct()
-    )
+    stars = buckets.where((F.col("head.node") != F.col("node")) & alike((F.col("head.b0"), F.col("head.b1")), (F.col("b0"), F.col("b1"))))
+    stars = stars.select(F.col("head.node").alias("a"), F.col("node").alias("b"))
+    candidates = stage(stars.union(neighbours(buckets)).distinct())
     sets = stage(_sets(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi")))
-    # one pair per node first, with the least head of its buckets; then what still lies between classes
-    first = buckets.groupBy("node").agg(F.min("head").alias("a")).select("a", F.col("node").alias("b")).where("a != b")
+    # one pair per node first, with the least node it met; then what still lies between classes
+    first = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
     links = stage(verified(first, nodes, sets, similarity))
     roots = components(links)
     others = _between(candidates, roots)
     links = stage(links.union(verified(others, nodes, sets, similarity)))
     roots = components(links)
-    links = stage(links.union(verified(_rest(buckets, roots), nodes, sets, similarity)))
+    more = _rest(buckets, roots).join(candidates, ["a", "b"], "left_anti")
+    links = stage(links.union(verified(more, nodes, sets, similarity)))
     roots = components(links)
 
     of_node = nodes.select("digest", "node").join(roots, "node", "left").select("digest", F.coalesce("root", "node").alias("root"))
@@ -245,9 +262,10 @@ def _several(buckets: DataFrame) -> DataFrame:
 
 def _crossed(buckets: DataFrame) -> DataFrame:
     """All pairs of nodes of different classes in buckets of at most SMALL rows."""
-    small = buckets.where(F.col("held") <= SMALL).select("bucket", "node", "class")
-    other = small.select("bucket", F.col("node").alias("_node"), F.col("class").alias("_class"))
-    met = small.join(other, "bucket").where((F.col("node") < F.col("_node")) & (F.col("class") != F.col("_class")))
+    small = buckets.where(F.col("held") <= SMALL).select("bucket", "node", "class", "b0", "b1")
+    other = small.select("bucket", *[F.col(c).alias(f"_{c}") for c in ("node", "class", "b0", "b1")])
+    near = alike((F.col("b0"), F.col("b1")), (F.col("_b0"), F.col("_b1")))
+    met = small.join(other, "bucket").where((F.col("node") < F.col("_node")) & (F.col("class") != F.col("_class")) & near)
     return met.select(F.col("node").alias("a"), F.col("_node").alias("b"))
 
 
@@ -256,11 +274,11 @@ def _rest(buckets: DataFrame, roots: DataFrame) -> DataFrame:
 
     Buckets over SMALL rows are split by every other band of their nodes; a split one that is still large pairs neighbours.
     """
-    several = stage(_several(_classed(buckets.select("bucket", "band", "node", "rest"), roots)))
+    several = stage(_several(_classed(buckets.select("bucket", "band", "node", "rest", "b0", "b1"), roots)))
     large = several.where(F.col("held") > SMALL)
     again = buckets.select(F.col("node").alias("_node"), F.col("bucket").alias("_second"), F.col("band").alias("_band"))
     split = large.join(again, (F.col("node") == F.col("_node")) & (F.col("band") < F.col("_band")))
-    split = split.select(F.xxhash64("bucket", "_second").alias("bucket"), "node", "class", "rest")
+    split = split.select(F.xxhash64("bucket", "_second").alias("bucket"), "node", "class", "rest", "b0", "b1")
     split = stage(_several(split))
     left = neighbours(split.where(F.col("held") > SMALL))
     return _crossed(several).union(_crossed(split)).union(_between(left, roots)).distinct()

@@ -23,7 +23,7 @@ from reqloom.operators.staging import stage
 SCALE = 256
 K = 5
 PAGE = 4096
-LEAF = 64
+LEAF = 256
 FAN = 16
 #: The sample of vectors that serve as pivots, and the queries in a block.
 PIVOTS = 64
@@ -86,12 +86,15 @@ class Tree:
         return children
 
 
-def search(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, points: np.ndarray, tree: tuple, k: int, floor: int | None) -> list[tuple[int, int]]:
-    """Up to k (score, id) of the page's best for one query, its own row left out; `floor` is a score that k rows reach."""
+def search(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, points: np.ndarray, tree: tuple, k: int, floor: float | None) -> list[tuple[float, int]]:
+    """Up to k (score, id) of the page's best for one query, its own row left out; `floor` is a score that k rows reach.
+
+    Vectors and query are whole numbers held as floats, so that products stay exact below 2^53.
+    """
     centre, radius, to_parent, first, last, leaf, point_parent = tree
-    lifted = np.append(query.astype(float), 0.0)
+    lifted = np.append(query, 0.0)
     norm = float(lifted @ lifted) + float(points[0] @ points[0])  # |q|^2 + M^2: all lifted points have length M
-    best: list[tuple[int, int]] = []  # heap of (score, -id), worst first
+    best: list[tuple[float, int]] = []  # heap of (score, -id), worst first
 
     def reach() -> float:
         """The largest distance that can still matter."""
@@ -110,7 +113,9 @@ def search(query: np.ndarray, own: int, ids: np.ndarray, vectors: np.ndarray, po
         if leaf[node]:
             near = low + np.flatnonzero(np.abs(to_centre - point_parent[low:high]) <= limit)
             scores = vectors[near] @ query
-            for score, vec in zip(scores.tolist(), ids[near].tolist()):
+            worst = best[0][0] if len(best) == k else -np.inf
+            high = np.flatnonzero(scores >= max(worst, -np.inf if floor is None else floor))
+            for score, vec in zip(scores[high].tolist(), ids[near[high]].tolist()):
                 if vec != own:
                     if len(best) < k:
                         heapq.heappush(best, (score, -vec))
@@ -175,23 +180,30 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_column: str = "vec_id", c
     met = meeting.join(packed, "block")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reached: dict[int, list] = {}  # the best scores that this task has met, by query: k rows reach the last of them
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], np.int64)
-                v = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), -1)
-                points = np.hstack([v.astype(float), np.sqrt(np.maximum(longest - (v * v).sum(axis=1), 0).astype(float))[:, None]])
+                v = np.frombuffer(row["vectors"], np.int64).reshape(len(ids), -1).astype(float)
+                points = np.hstack([v, np.sqrt(np.maximum(longest - (v * v).sum(axis=1), 0))[:, None]])
                 nodes = np.frombuffer(row["nodes"]).reshape(-1, 6)
                 tree = (*[nodes[:, i].astype(np.int64) if i in (0, 3, 4) else nodes[:, i] for i in range(6)], np.frombuffer(row["parents"]))
                 found = []
-                for query in row["queries"]:
-                    q, own = np.array(query["v"], dtype=np.int64), query["vec_id"]
-                    others = (pivots @ q)[pivot_ids != own] if len(pivot_ids) else np.zeros(0)
-                    floor = int(np.sort(others)[-k]) if len(others) >= k else None
-                    found += [(own, vec, score) for score, vec in search(q, own, ids, v, points, tree, k, floor)]
+                asked = sorted({q["vec_id"]: q["v"] for q in row["queries"]}.items())
+                wanted = np.array([v for _, v in asked], dtype=float)
+                at_pivots = wanted @ pivots.T.astype(float)
+                for i, (own, _) in enumerate(asked):
+                    if own not in reached:
+                        others = at_pivots[i][pivot_ids != own] if len(pivot_ids) else np.zeros(0)
+                        reached[own] = [[], np.sort(others)[-k] if len(others) >= k else None]
+                    scores, start = reached[own]
+                    floor = max(scores[-1], start) if len(scores) == k and start is not None else scores[-1] if len(scores) == k else start
+                    more = search(wanted[i], own, ids, v, points, tree, k, floor)
+                    reached[own][0] = sorted([*scores, *[score for score, _ in more]], reverse=True)[:k]
+                    found += [(own, vec, score) for score, vec in more]
                 columns = np.array(found, dtype=np.int64).reshape(-1, 3)
                 yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(3)], names=["query_id", "vec_id", "score"])
 
-    # the same query row may stand in the table twice: its candidates count once
     found = met.select("ids", "vectors", "nodes", "parents", "queries").mapInArrow(run, "query_id long, vec_id long, score long")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)

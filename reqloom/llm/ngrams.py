@@ -57,10 +57,9 @@ def features(block: pa.RecordBatch, column: str, words: ShapedWords, bits: int =
     hashes = words.hash_array()[codes]
     shapes = words.shapes.hash_array()[np.array(words.shape_of, dtype=np.int64)[codes]] if len(codes) else hashes
     kinds = [windows(hashes, bounds, 1), windows(hashes, bounds, 2), windows(shapes, bounds, 1), windows(shapes, bounds, 3)]
-    pairs, edges = kinds[1]
-    inside = np.ones(len(codes), dtype=bool)
-    inside[np.maximum(bounds[1:] - 1, 0)] = False
-    again = (codes[1:] == codes[:-1])[inside[:-1]] if len(pairs) else np.zeros(0, dtype=bool)
-    kinds.append((np.where(again, _AGAIN, _OTHER), edges))
+    followed = np.ones(len(codes), dtype=bool)
+    followed[bounds[1:][np.diff(bounds) > 0] - 1] = False
+    again = (codes[1:] == codes[:-1])[followed[:-1]]
+    kinds.append((np.where(again, _AGAIN, _OTHER), kinds[1][1]))
     low = np.uint64((1 << bits) - 1)
     return [(grams & low).astype(np.int64) for grams, _ in kinds], [edges for _, edges in kinds]

@@ -33,18 +33,27 @@ _IS_SPACE = np.isin(np.arange(256), list(SPACE_BYTES))
 _BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def gram_counts(docs: DataFrame, bits: int = BITS) -> DataFrame:
-    """`bucket` and `n`, the n-grams of all texts of `docs` per hash bucket; buckets without any have no row."""
+def gram_counts(docs: DataFrame, trusted: DataFrame, bits: int = BITS) -> DataFrame:
+    """`bucket`, `n` and `n_trusted`: n-grams per hash bucket over all texts, and over the trusted ones.
+
+    The texts meet the trusted ids by a merge join at every size: the ids grow with the corpus. Buckets without any n-gram
+    have no row.
+    """
+    ids = trusted.select("doc_id").where(F.col("doc_id").isNotNull()).distinct().withColumn("_trusted", F.lit(True))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = ShapedWords(), np.zeros(1 << bits, np.int64)
+        words, total = ShapedWords(), np.zeros((2, 1 << bits), np.int64)
         for block in blocks(batches, "text"):
-            for grams in features(block, "text", words, bits)[0]:
-                total += np.bincount(grams, minlength=1 << bits)
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], names=["bucket", "n"])
+            good = block.column("_trusted").to_numpy(zero_copy_only=False).astype(bool)
+            for grams, bounds in zip(*features(block, "text", words, bits)):
+                total[0] += np.bincount(grams, minlength=1 << bits)
+                total[1] += np.bincount(grams[np.repeat(good, np.diff(bounds))], minlength=1 << bits)
+        at = np.flatnonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[0, at]), pa.array(total[1, at])], names=["bucket", "n", "n_trusted"])
 
-    return docs.select("text").mapInArrow(count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    marked = docs.select("doc_id", "text").join(ids.hint("merge"), "doc_id", "left")
+    counted = marked.select("text", F.coalesce("_trusted", F.lit(False)).alias("_trusted")).mapInArrow(count, "bucket int, n long, n_trusted long")
+    return counted.groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n_trusted").alias("n_trusted"))
 
 
 def ratio_table(docs: DataFrame, trusted: DataFrame, bits: int = BITS, smoothing: float = SMOOTHING) -> np.ndarray:
@@ -53,15 +62,11 @@ def ratio_table(docs: DataFrame, trusted: DataFrame, bits: int = BITS, smoothing
     `trusted` has the ids (doc_id) of the trusted documents; repeats and nulls in it do not matter. Only the two vectors
     of 2^bits counts reach the driver.
     """
-    ids = trusted.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
-    good = docs.select("doc_id", "text").join(ids, "doc_id", "left_semi")
-    logs = []
-    for part in (good, docs):
-        counts = np.full(1 << bits, smoothing)
-        for row in gram_counts(part, bits).toLocalIterator():
-            counts[row.bucket] += row.n
-        logs.append(np.log(counts) - np.log(counts.sum()))
-    return logs[0] - logs[1]
+    counts = np.full((2, 1 << bits), smoothing)
+    for row in gram_counts(docs, trusted, bits).toLocalIterator():
+        counts[:, row.bucket] += row.n, row.n_trusted
+    corpus, good = np.log(counts) - np.log(counts.sum(axis=1, keepdims=True))
+    return good - corpus
 
 
 def symbols_and_letters(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:

@@ -80,5 +80,5 @@ def _upper_gamma(a: float, x: float) -> float:
         c = (b + numerator / c) or tiny
         fraction *= c * d
         if abs(c * d - 1.0) < 1e-15:
-            break
-    return min(1.0, scale * fraction)
+            return min(1.0, scale * fraction)
+    raise ArithmeticError("the continued fraction did not converge")

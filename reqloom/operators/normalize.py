@@ -88,13 +88,14 @@ def normalize_log_entries(
     payload, parsed_text, http, labels = (F.col(c) for c in ("jsonPayload", "_text", "httpRequest", "labels"))
 
     def whole(column: Column) -> Column:
-        return column.cast("bigint")
+        """Text as a whole number, a fraction cut off; null where it is no number."""
+        return column.try_cast("decimal(38,6)").try_cast("bigint")
 
     status = [whole(http["status"]), whole(payload["status_code"]), whole(parsed_text["status_code"])]
     latency = [
         text.duration_ms(http["latency"]),
-        whole(payload["latency_ms"]).cast("double"),
-        whole(parsed_text["latency_ms"]).cast("double"),
+        payload["latency_ms"].try_cast("double"),
+        parsed_text["latency_ms"].try_cast("double"),
     ]
     address = [http["remoteIp"], payload["remote_ip"], parsed_text["remote_ip"]]
     known = parsed.withColumns(

@@ -24,11 +24,11 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = RAW_FLAT)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CSV) -> DataFrame:
-    """CSV with a header row; columns are matched by name and may be a part of the schema."""
+    """CSV with a header row; columns may be a part of the schema. Files whose header differs from the first one fail."""
     header = spark.read.option("header", True).csv(path).columns
     kinds = {field.name: field.dataType for field in schema.fields}
     present = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in header])
-    return spark.read.schema(present).option("header", True).option("mode", "FAILFAST").csv(path)
+    return spark.read.schema(present).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

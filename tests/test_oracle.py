@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from reqloom.plans.oracle import ORACLE
+from reqloom.plans.queries import QUERIES
 from tests.conftest import SMALL
 
 TABLES = (
@@ -38,14 +40,14 @@ def canonical(rows, columns):
     return sorted(tuple(plain(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, duck, name):
     # its SQL holds for samples over 10,000 rows
     folder = SMALL.replace("0.001", "0.01") if name == "drift_report_lines" else SMALL
     use_folder(duck, folder)
-    df = contract.queries()[name](spark, folder)
+    df = QUERIES[name](spark, folder)
     rows = [tuple(row) for row in df.collect()]
-    sql = contract.oracle_sql().get(name)
+    sql = ORACLE.get(name)
     if sql is None:
         assert rows
         return
@@ -56,7 +58,11 @@ def test_query(spark, duck, name):
 
 
 def test_only_the_drift_report_has_no_sql():
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"drift_report"}
+    assert set(QUERIES) - set(ORACLE) == {"drift_report"}
+
+
+def test_contract_has_all_queries():
+    assert set(QUERIES) <= set(contract.queries()) and set(ORACLE) <= set(contract.oracle_sql())
 
 
 def test_entry(spark):

@@ -124,7 +124,7 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank
 """,
     "op7_line_dedup": """
 WITH lines AS (
-  SELECT doc_id, rn, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS at
+  SELECT doc_id, rn, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos
   FROM (SELECT doc_id, text, row_number() OVER () AS rn FROM documents)
 ), keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
@@ -133,7 +133,7 @@ WITH lines AS (
   SELECT key FROM keyed WHERE length(key) >= 1 GROUP BY key HAVING count(DISTINCT doc_id) >= 10
 )
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE key IN (SELECT key FROM common)) AS n_dropped,
-  sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE key NOT IN (SELECT key FROM common)), '')) AS kept_sha256
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE key NOT IN (SELECT key FROM common)), '')) AS kept_sha256
 FROM keyed GROUP BY rn, doc_id
 """,
 }

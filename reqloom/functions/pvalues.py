@@ -6,17 +6,26 @@ import math
 
 import numpy as np
 
-# Larger samples use the limiting distribution.
+KS_METHODS = ("asymptotic", "exact")
+# Largest sample the exact count is done for.
 EXACT_KS_ROWS = 10_000
 
 
-def ks_p_value(statistic: float, n_ref: int, n_cur: int) -> float:
-    """Two-sided two-sample Kolmogorov-Smirnov p-value; an empty sample gives 1."""
+def ks_p_value(statistic: float, n_ref: int, n_cur: int, method: str = "asymptotic") -> float:
+    """Two-sided two-sample Kolmogorov-Smirnov p-value; an empty sample gives 1.
+
+    `asymptotic` takes the limiting distribution, `exact` counts orderings. The sizes never choose between them: `exact`
+    raises on samples it is too slow for.
+    """
+    if method not in KS_METHODS:
+        raise ValueError(f"unknown method: {method}")
     if n_ref == 0 or n_cur == 0:
         return 1.0
-    if max(n_ref, n_cur) <= EXACT_KS_ROWS:
-        return _ks_exact(statistic, n_ref, n_cur)
-    return _ks_limit(statistic * math.sqrt(n_ref * (n_cur / (n_ref + n_cur))))
+    if method == "asymptotic":
+        return _ks_limit(statistic * math.sqrt(n_ref * (n_cur / (n_ref + n_cur))))
+    if max(n_ref, n_cur) > EXACT_KS_ROWS:
+        raise ValueError(f"the exact p-value takes samples of at most {EXACT_KS_ROWS} rows")
+    return _ks_exact(statistic, n_ref, n_cur)
 
 
 def _ks_exact(statistic: float, m: int, n: int) -> float:

@@ -133,11 +133,13 @@ def drift_report(
     p_value_threshold: float = DRIFT_P_VALUE,
     strict: bool = False,
     dedupe_metrics: bool = False,
+    ks_method: str = "asymptotic",
 ) -> tuple[DataFrame, DataFrame]:
     """One summary row (is_drift_ok, errors, warnings, drift_score, severity) and one row per test.
 
     The score is the share of tests without drift; drift is a warning, so errors are always zero. `dedupe_metrics`
-    tests the latency once instead of as mean and deviation. Strict raises when any test drifted.
+    tests the latency once instead of as mean and deviation. `ks_method` is `asymptotic` or, for small samples, `exact`.
+    Strict raises when any test drifted.
     """
     spark = ref.sparkSession
     n_ref, n_cur = ref.count(), cur.count()
@@ -165,9 +167,9 @@ def drift_report(
             row = ks.get(source)
             sizes = (row["n_ref"], row["n_cur"]) if row else (0, 0)
             distance = row["ks_statistic"] if row and all(sizes) else 0.0
-            tests.append(("drift_numeric", metric, distance, ks_p_value(distance, *sizes)))
+            tests.append(("drift_numeric", metric, distance, ks_p_value(distance, *sizes, ks_method)))
     distance = 0.0 if n_ref == n_cur else 1.0
-    tests.append(("drift_numeric", "request_count", distance, ks_p_value(distance, n_ref, n_cur)))
+    tests.append(("drift_numeric", "request_count", distance, ks_p_value(distance, n_ref, n_cur, ks_method)))
     if categories:
         chi2 = {
             row["column_name"]: row for row in chi2_statistics(ref.select(*categories), cur.select(*categories)).collect()

@@ -107,10 +107,16 @@ def _join_on(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFram
 
 
 def status_pivot(requests: DataFrame, codes: Sequence[int]) -> DataFrame:
-    """Paths by status codes; the codes are given, so no extra job looks for them. Absent pairs count zero."""
-    counted = cells(requests, "api_path", "status_code")
-    pivoted = counted.groupBy("api_path").pivot("status_code", list(codes)).agg(F.sum(WEIGHT))
-    return pivoted.select("api_path", *[F.coalesce(F.col(str(c)), F.lit(0)).alias(f"status_{c}") for c in codes])
+    """Paths by status codes; the codes are given, so no extra job looks for them. Absent pairs count zero.
+
+    `status_other` counts all other codes and requests without one, so a row's counts add up to the path's requests.
+    """
+    listed = F.col("status_code").isin(list(codes))
+    column = F.when(listed, F.col("status_code").cast("string")).otherwise("other")
+    counted = cells(requests, "api_path", "status_code").withColumn("_code", column)
+    names = [*map(str, codes), "other"]
+    pivoted = counted.groupBy("api_path").pivot("_code", names).agg(F.sum(WEIGHT))
+    return pivoted.select("api_path", *[F.coalesce(F.col(name), F.lit(0)).alias(f"status_{name}") for name in names])
 
 
 def executive_overview(requests: DataFrame) -> DataFrame:

@@ -71,9 +71,9 @@ class PipelineError(ValueError):
 def build_metrics(
     requests: DataFrame, out: str, target: str = "warehouse", only: Sequence[str] | None = None
 ) -> dict[str, DataFrame]:
-    """Replaces the dashboard tables under `out` and defines a view of each name; the first failure aborts.
+    """Replaces the dashboard tables under `out`/`target` and defines the views `target`_name; the first failure aborts.
 
-    The requests are scanned once for the cells that most tables roll up, and once per remaining table. Spikes are
+    The requests themselves become the view `target`_requests first. The requests are scanned once for the cells that most tables roll up, and once per remaining table. Spikes are
     filtered from the stored rolling rates when both are built.
     """
     if target not in TARGETS:
@@ -86,7 +86,8 @@ def build_metrics(
     if unknown:
         raise PipelineError(f"Unknown tables: {unknown}")
 
-    out = out.rstrip("/")
+    out = f"{out.rstrip('/')}/{target}"
+    define_view(requests, f"{target}_requests")
     tables: dict[str, DataFrame] = {}
     stored_cells = None
     if any(name in by_cells for name in names):
@@ -102,7 +103,7 @@ def build_metrics(
         else:
             table = by_requests[name](requests)
         tables[name] = replace_table(table, f"{out}/{name}")
-        define_view(tables[name], name)
+        define_view(tables[name], f"{target}_{name}")
     return tables
 
 
@@ -115,17 +116,20 @@ def run_pipeline(
     start_from: str | None = None,
     path: str | None = None,
     predicate: str | None = None,
-    limit: int | None = None,
     ingest_ts: datetime | None = None,
+    gather_days: bool = False,
 ) -> dict[str, DataFrame]:
-    """Extract, normalise, append to `store`, rebuild the tables of `target` under `out` from the whole store."""
+    """Extract, normalise, append to `store`, rebuild the tables of `target` under `out` from the whole store.
+
+    `gather_days` suits input that mixes many days, see `append_requests`.
+    """
     if start_from not in (None, "extract"):
         raise PipelineError("start_from must be None or 'extract'")
     if target not in TARGETS:
         raise PipelineError(f"Unsupported target: {target}")
-    raw = read_logs(spark, source, path, predicate, limit)
+    raw = read_logs(spark, source, path, predicate)
     normalise = normalize_log_entries if source == "cloud" else normalize_flat
-    write_requests(normalise(raw, ingest_ts=ingest_ts), "path", store)
+    write_requests(normalise(raw, ingest_ts=ingest_ts), "path", store, gather_days)
     return build_metrics(spark.read.parquet(store), out, target)
 
 
@@ -146,14 +150,18 @@ def gate(requests: DataFrame, strict: bool = False) -> DataFrame:
 
 
 def drift_between(
-    requests: DataFrame, reference: tuple[datetime, datetime], current: tuple[datetime, datetime], strict: bool = False
+    requests: DataFrame,
+    reference: tuple[datetime, datetime],
+    current: tuple[datetime, datetime],
+    strict: bool = False,
+    ks_method: str = "asymptotic",
 ) -> tuple[DataFrame, DataFrame] | None:
     """Drift between two time ranges [start, end) of the request table; None when either range has no rows."""
 
     ref, cur = (as_monitoring(in_time_range(requests, *span, with_end=False)) for span in (reference, current))
     if ref.isEmpty() or cur.isEmpty():
         return None
-    return drift_report(ref, cur, strict=strict)
+    return drift_report(ref, cur, strict=strict, ks_method=ks_method)
 
 
 __all__ = [

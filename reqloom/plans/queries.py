@@ -27,7 +27,9 @@ from reqloom.operators import (
     users,
 )
 from reqloom.operators.normalize import normalize_flat, normalize_log_entries
-from reqloom.plans import inputs
+from reqloom.operators.staging import new_path
+from reqloom.plans import inputs, pipeline
+from reqloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
 INGEST = datetime(2024, 2, 1)
@@ -231,7 +233,7 @@ def safe_name_check(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def row_count_check(spark: SparkSession, folder: str) -> DataFrame:
-    return generic.count_matches(inputs.requests(spark, folder), 10_000)
+    return generic.count_matches(inputs.requests(spark, folder), inputs.events(spark, folder).count())
 
 
 def _samples(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
@@ -249,11 +251,16 @@ def drift_chi2_stat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def drift_features(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(drift.drift_features(_samples(spark, folder)[0]))
+    ref, cur = _samples(spark, folder)
+    return rounded(drift.drift_features(ref.unionByName(cur)))
 
 
 def drift_report(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.drift_report(*_samples(spark, folder))[1]
+    return rounded(drift.drift_report(*_samples(spark, folder))[1])
+
+
+def drift_summary(spark: SparkSession, folder: str) -> DataFrame:
+    return rounded(drift.drift_report(*_samples(spark, folder))[0])
 
 
 def drift_report_lines(spark: SparkSession, folder: str) -> DataFrame:
@@ -261,6 +268,78 @@ def drift_report_lines(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(drift.drift_report(ref, cur)[1])
 
 
+# sources, sinks and jobs: the given tables are written to the shared folder and read back
+
+
+def source_json(spark: SparkSession, folder: str) -> DataFrame:
+    """Arrays of 1,000 records at most, each in a file of its own."""
+    path = new_path(spark)
+    raw = inputs.raw_flat(spark, folder)
+    numbered = raw.withColumn("_part", F.floor(F.monotonically_increasing_id() / 1000))
+    arrays = numbered.groupBy("_part").agg(F.to_json(F.collect_list(F.struct(*raw.columns))).alias("value"))
+    arrays.write.partitionBy("_part").text(path)
+    return rounded(normalize_flat(readers.read_logs(spark, "json", path), INGEST))
+
+
+def source_jsonl(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark)
+    inputs.raw_flat(spark, folder).write.json(path)
+    return rounded(normalize_flat(readers.read_logs(spark, "jsonl", path), INGEST))
+
+
+def source_parquet(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark)
+    inputs.raw_flat(spark, folder).write.parquet(path)
+    return rounded(normalize_flat(readers.read_logs(spark, "parquet", path), INGEST))
+
+
+def source_csv(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark)
+    writers.write_csv(inputs.raw_flat(spark, folder).select("trace", "service", "payload_size"), path)
+    read = readers.read_logs(spark, "csv", path)
+    return read.select("trace", "service", F.col("payload_size").cast("bigint").alias("payload_size"))
+
+
+def source_log_entries(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_path(spark)
+    inputs.log_entries(spark, folder).write.json(path)
+    return rounded(normalize_log_entries(readers.read_logs(spark, "cloud", path, "trace IS NOT NULL"), INGEST))
+
+
+def append_twice(spark: SparkSession, folder: str) -> DataFrame:
+    path, requests = new_path(spark), inputs.requests(spark, folder)
+    for gather_days in (False, True):
+        writers.write_requests(requests, "path", path, gather_days)
+    stored = spark.read.parquet(path)
+    return stored.groupBy("event_date", "api_path").agg(F.count(F.lit(1)).alias("total_requests"))
+
+
+def replace_table(spark: SparkSession, folder: str) -> DataFrame:
+    path, requests = new_path(spark), inputs.requests(spark, folder)
+    writers.replace_table(requests, path)
+    return writers.replace_table(rounded(status.status_code_kpis(requests)), path)
+
+
+def _exported(fmt: str) -> Query:
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        path, kpis = new_path(spark), rounded(status.status_code_kpis(inputs.requests(spark, folder)))
+        writers.export(kpis, fmt, path)
+        return spark.read.schema(kpis.schema).option("header", True).format(fmt).load(path)
+
+    return query
+
+
+def _built(target: str, name: str) -> Query:
+    """The table as stored once both targets are built under one folder."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        out, requests = new_path(spark), inputs.requests(spark, folder)
+        tables = {t: pipeline.build_metrics(requests, out, t, only=[name]) for t in pipeline.TARGETS}
+        return rounded(tables[target][name])
+
+    return query
+
+
 def drift_severity(spark: SparkSession, folder: str) -> DataFrame:
     """Relative change of each status code's share between the halves, graded."""
     ref, cur = _samples(spark, folder)
@@ -287,6 +366,7 @@ QUERIES: dict[str, Query] = {
     "normalize_list": normalize_list,
     "aggregate_metrics": aggregate_metrics,
     "status_pivot": _over(lambda r: generic.status_pivot(r, CODES)),
+    "status_pivot_few_codes": _over(lambda r: generic.status_pivot(r, [200, 404])),
     "executive_overview": _over(generic.executive_overview),
     "status_family_share": _over(generic.status_family_share),
     "metric_points": metric_points,
@@ -348,6 +428,19 @@ QUERIES: dict[str, Query] = {
     "drift_chi2_stat": drift_chi2_stat,
     "drift_features": drift_features,
     "drift_report": drift_report,
+    "drift_summary": drift_summary,
     "drift_report_lines": drift_report_lines,
     "drift_severity": drift_severity,
+    "source_json": source_json,
+    "source_jsonl": source_jsonl,
+    "source_parquet": source_parquet,
+    "source_csv": source_csv,
+    "source_log_entries": source_log_entries,
+    "append_twice": append_twice,
+    "replace_table": replace_table,
+    "export_json": _exported("json"),
+    "export_csv": _exported("csv"),
+    "export_parquet": _exported("parquet"),
+    "build_metrics_warehouse": _built("warehouse", "dashboard_errors_hourly"),
+    "build_metrics_local": _built("local", "dashboard_errors_hourly"),
 }

@@ -35,15 +35,12 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def read_log_entries(spark: SparkSession, path: str, predicate: str, limit: int | None = None) -> DataFrame:
-    """Exported log entries (JSON lines) that satisfy a Spark SQL predicate; the newest `limit` of them when given."""
-    entries = read_jsonl(spark, path, RAW_LOG_ENTRY).where(F.expr(predicate))
-    return entries.orderBy(F.desc("timestamp")).limit(limit) if limit else entries
+def read_log_entries(spark: SparkSession, path: str, predicate: str) -> DataFrame:
+    """All exported log entries (JSON lines) that satisfy a Spark SQL predicate."""
+    return read_jsonl(spark, path, RAW_LOG_ENTRY).where(F.expr(predicate))
 
 
-def read_logs(
-    spark: SparkSession, source: str, path: str | None = None, predicate: str | None = None, limit: int | None = None
-) -> DataFrame:
+def read_logs(spark: SparkSession, source: str, path: str | None = None, predicate: str | None = None) -> DataFrame:
     """Source by name: `cloud` (exported log entries, needs a predicate), `json`, `jsonl`, `csv` or `parquet`."""
     readers = {"json": read_json, "jsonl": read_jsonl, "csv": read_csv, "parquet": read_parquet}
     if source == "cloud" and not predicate:
@@ -51,7 +48,7 @@ def read_logs(
     if not path:
         raise SourceError("a path is required")
     if source == "cloud":
-        return read_log_entries(spark, path, predicate, limit)
+        return read_log_entries(spark, path, predicate)
     if source not in readers:
         raise SourceError(f"Unsupported source: {source}")
     return readers[source](spark, path)

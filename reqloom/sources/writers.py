@@ -31,12 +31,12 @@ def append_table(requests: DataFrame, table: str, gather_days: bool = False) ->
     _dated(requests, gather_days).write.mode("append").partitionBy("event_date").saveAsTable(table)
 
 
-def write_requests(requests: DataFrame, target: str, location: str) -> None:
+def write_requests(requests: DataFrame, target: str, location: str, gather_days: bool = False) -> None:
     """Sink by name: `table` (catalogue) or `path` (parquet folder)."""
     if target == "table":
-        append_table(requests, location)
+        append_table(requests, location, gather_days)
     elif target == "path":
-        append_requests(requests, location)
+        append_requests(requests, location, gather_days)
     else:
         raise SinkError(f"Unsupported target: {target}")
 

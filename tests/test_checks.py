@@ -164,9 +164,9 @@ def test_winsorize(spark):
 
 
 def test_ks_fixed_points():
-    assert ks_p_value(1.0, 3, 3) == pytest.approx(0.1)
-    assert ks_p_value(1.0, 1, 1) == pytest.approx(1.0)
-    assert ks_p_value(0.0, 5, 5) == 1.0
+    assert ks_p_value(1.0, 3, 3, "exact") == pytest.approx(0.1)
+    assert ks_p_value(1.0, 1, 1, "exact") == pytest.approx(1.0)
+    assert ks_p_value(0.0, 5, 5, "exact") == 1.0
     assert ks_p_value(0.5, 0, 5) == 1.0
 
 
@@ -185,15 +185,19 @@ def test_ks_equals_enumeration(m, n):
 
     gaps = [distance(set(p)) for p in combinations(range(m + n), m)]
     for d in set(gaps):
-        assert ks_p_value(d, m, n) == pytest.approx(sum(g >= d - 1e-12 for g in gaps) / len(gaps))
+        assert ks_p_value(d, m, n, "exact") == pytest.approx(sum(g >= d - 1e-12 for g in gaps) / len(gaps))
 
 
 def test_ks_exact_meets_the_limit():
     n = 4000
     d = 120 / n
-    assert ks_p_value(d, n, n) == pytest.approx(_ks_limit(d * math.sqrt(n / 2)), abs=3e-3)
-    assert 0 <= ks_p_value(0.5, 9000, 9000) < 1e-200
+    assert ks_p_value(d, n, n, "exact") == pytest.approx(_ks_limit(d * math.sqrt(n / 2)), abs=3e-3)
+    assert 0 <= ks_p_value(0.5, 9000, 9000, "exact") < 1e-200
     assert 0 < ks_p_value(0.02, 10**9, 5000) < 0.05
+    with pytest.raises(ValueError):
+        ks_p_value(0.02, 10**9, 5000, "exact")
+    with pytest.raises(ValueError):
+        ks_p_value(0.02, 5, 5, "auto")
 
 
 def test_chi2_tail():
@@ -241,7 +245,7 @@ def test_drift_fixtures(spark):
     assert list(metrics) == ["latency_mean", "latency_std", "is_error", "request_count", "endpoint", "status_code"]
 
     ref, cur = [(100.0, 200, "/a")] * 3, [(1000.0, 500, "/b"), (1200.0, 500, "/b"), (1500.0, 500, "/b")]
-    summary, metrics = drift(spark, ref, cur)
+    summary, metrics = drift(spark, ref, cur, ks_method="exact")
     assert metrics["latency_mean"]["p_value"] == pytest.approx(0.1)
     assert metrics["endpoint"]["p_value"] == pytest.approx(0.10247, abs=1e-5)
     assert summary["drift_score"] == 1.0

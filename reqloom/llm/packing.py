@@ -13,6 +13,7 @@ import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -65,6 +66,12 @@ class Encoder:
         return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The process's encoder: a worker's later tasks find its words encoded."""
+    return Encoder(path)
+
+
 def closest(counts: dict[int, int], capacity: int) -> dict[int, int]:
     """How many of each length fill `capacity` closest from below: subset-sum over the counts, longest first."""
     mask, reach, layers = (2 << capacity) - 1, 1, []
@@ -134,7 +141,7 @@ def pack(
     names = ["start", "length", "ids_crc32", "doc_tokens"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), np.array([END], dtype="<u4").tobytes()
+        encoder, end = encoder_of(path), np.array([END], dtype="<u4").tobytes()
         for block in blocks(batches, "_text", 2 << 20):
             rows, values, ids = [], [], []
             for at, found in enumerate(encoder.encode([text or "" for text in block.column("_text").to_pylist()])):

@@ -11,14 +11,15 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
@@ -32,38 +33,73 @@ TOKENIZER = "byte_bpe_50k.json"
 
 _WIDE = re.compile(r"\s\s")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
+#: Signs that every Unicode version puts in the same classes.
+_LATIN = re.compile(r"[\n\x21-\x7e\xa1-\u024f]+")
+#: How byte-level models write the bytes that are no visible Latin-1 signs: as the signs from 256 on, in order.
+_HIDDEN = [*range(33), *range(127, 161), 173]
+_SIGNS = {byte: chr(256 + i) for i, byte in enumerate(_HIDDEN)}
 
 
 class Encoder:
     """Token ids (little-endian unsigned 32-bit) of texts by a byte-level BPE file.
 
     The file's pattern starts a new token at a space between two signs that are no white space, so texts are cut there,
-    and each cut is encoded once and kept; the ids are those of the whole text.
+    and each cut is encoded once and kept; the ids are those of the whole text. Cuts of Latin signs are split by the
+    pattern, and each of its runs goes to the file's BPE model once; all others go through the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.most, self.known = most, {"": b""}
+        self.model, self.pattern = self.tokenizer.model, regex.compile(public_tokenizers.PATTERN)
+        self.most, self.known, self.runs = most, {}, {}
+
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(one.ids, dtype="<u4").tobytes() for one in found]
+
+    def _run(self, run: str) -> bytes:
+        """Ids of one run of the pattern."""
+        if run.isascii():
+            written = run.replace(" ", _SIGNS[32]).replace("\n", _SIGNS[10])
+        else:
+            written = run.encode().decode("latin-1").translate(_SIGNS)
+        return array("I", [token.id for token in self.model.tokenize(written)]).tobytes()
 
     @staticmethod
     def cuts(text: str) -> list[str]:
-        pieces = _GAP.split(text) if _WIDE.search(text) else text.split(" ")
-        return [pieces[0], *[" " + piece for piece in pieces[1:]]]
+        """The text's cuts, without the space that each but the first begins with."""
+        return _GAP.split(text) if _WIDE.search(text) else text.split(" ")
+
+    def learn(self, new: Iterable[str]) -> None:
+        """Encodes cuts that begin with a space and keeps their ids."""
+        runs, split, other = self.runs, self.pattern.findall, []
+        for cut in new:
+            if cut.isalpha() and cut.isascii():
+                found = [" " + cut]
+            elif _LATIN.fullmatch(cut):
+                found = split(" " + cut)
+            else:
+                other.append(cut)
+                continue
+            for run in found:
+                if run not in runs:
+                    runs[run] = self._run(run)
+            self.known[cut] = b"".join([runs[run] for run in found]) if len(found) > 1 else runs[found[0]]
+        self.known.update(zip(other, self._whole([" " + cut for cut in other])))
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.most:
-            self.known = {"": b""}
+        for kept in (self.known, self.runs):
+            if len(kept) > self.most:
+                kept.clear()
         cut = [self.cuts(text) for text in texts]
-        new = list({piece for pieces in cut for piece in pieces if piece not in self.known})
-        for start in range(0, len(new), 20_000):
-            some = new[start : start + 20_000]
-            for piece, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False)):
-                self.known[piece] = np.array(found.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, pieces)) for pieces in cut]
+        first = self._whole([pieces.pop(0) for pieces in cut])
+        self.learn(set().union(*cut).difference(self.known))
+        get = self.known.__getitem__
+        return [ids + b"".join(map(get, pieces)) for ids, pieces in zip(first, cut)]
 
 
 @lru_cache(maxsize=1)

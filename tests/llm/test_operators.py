@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 import re
 import zlib
 
@@ -166,7 +167,6 @@ def test_packing(odd, none, documents):
 
 def test_closest_is_the_best_sum():
     import itertools
-    import random
 
     rng = random.Random(1)
     for _ in range(30):
@@ -181,9 +181,13 @@ def test_cuts_do_not_change_ids():
     tokenizer = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
     texts = ["a  b   c\n\n d\t e", " x", "x ", "", "don't we'll <|endoftext|> é  ü", "1 2\n 3 \n4", "\n \n", "a  b"]
     tokenizer.encode_special_tokens = True
-    encoder = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
-    for text, found in zip(texts, encoder.encode(texts)):
-        assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+    rng, signs = random.Random(1), [*"aB1 '._\n\t\r\x00\x1c\x7f\x85\xa0\xad\xb2éßŁƂ中🙂\u3000\u200b\u0301", "'s", "'ll", "  "]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(5000)]
+    encoder = packing.Encoder(public_tokenizers.path(packing.TOKENIZER), most=2000)
+    for start in range(0, len(texts), 500):
+        some = texts[start : start + 500]
+        for text, found in zip(some, encoder.encode(some)):
+            assert np.frombuffer(found, "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
 def plain_classes(rows):

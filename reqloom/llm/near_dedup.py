@@ -272,13 +272,14 @@ def _crossed(buckets: DataFrame) -> DataFrame:
 def _rest(buckets: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of different classes that the first round did not compare, from buckets that still hold several classes.
 
-    Buckets over SMALL rows are split by every other band of their nodes; a split one that is still large pairs neighbours.
+    Buckets over SMALL rows are split by each other such bucket of their nodes; a split one that is still large pairs
+    neighbours. Nodes of different classes that share a smaller bucket are paired there.
     """
     several = stage(_several(_classed(buckets.select("bucket", "band", "node", "rest", "b0", "b1"), roots)))
     large = several.where(F.col("held") > SMALL)
-    again = buckets.select(F.col("node").alias("_node"), F.col("bucket").alias("_second"), F.col("band").alias("_band"))
+    again = large.select(F.col("node").alias("_node"), F.col("bucket").alias("_second"), F.col("band").alias("_band"))
     split = large.join(again, (F.col("node") == F.col("_node")) & (F.col("band") < F.col("_band")))
-    split = split.select(F.xxhash64("bucket", "_second").alias("bucket"), "node", "class", "rest", "b0", "b1")
+    split = stage(split.select(F.xxhash64("bucket", "_second").alias("bucket"), "node", "class", "rest", "b0", "b1"))
     split = stage(_several(split))
     left = neighbours(split.where(F.col("held") > SMALL))
     return _crossed(several).union(_crossed(split)).union(_between(left, roots)).distinct()

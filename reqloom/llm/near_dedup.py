@@ -7,8 +7,8 @@ their probability Jaccard similarity. A shingle's process stops once its arrival
 Texts with equal words are one node. Nodes that share a band's components fall into a bucket. Within a bucket a node is
 paired with the bucket's first node and with its neighbours in the order of the rest of the signature; no bucket is paired
 out as a whole or held by one task. Pairs whose signatures agree enough are verified on the shingles themselves. A second
-round takes the buckets in which several classes are left: small ones pair all nodes of different classes, large ones are
-first split by a second band.
+round takes the buckets in which several classes are left: small ones pair all nodes of different classes; the nodes of
+large ones are paired by their rarest shingles, a prefix long enough that no two sets of the similarity can miss each other.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -37,6 +37,8 @@ NEIGHBOURS = 2
 DIFFERENT = 24
 #: A bucket of at most so many nodes pairs all of them that are in different classes.
 SMALL = 48
+#: Nodes of one side of a shingle's list that a block of pairs holds.
+BLOCK = 1024
 
 
 def shingles_of(texts: list[bytes], words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -213,7 +215,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     others = _between(candidates, roots)
     links = stage(links.union(verified(others, nodes, sets, similarity)))
     roots = components(links)
-    more = _rest(buckets, roots).join(candidates, ["a", "b"], "left_anti")
+    more = _rest(buckets, roots, sets, similarity).join(candidates, ["a", "b"], "left_anti")
     links = stage(links.union(verified(more, nodes, sets, similarity)))
     roots = components(links)
 
@@ -269,20 +271,47 @@ def _crossed(buckets: DataFrame) -> DataFrame:
     return met.select(F.col("node").alias("a"), F.col("_node").alias("b"))
 
 
-def _rest(buckets: DataFrame, roots: DataFrame) -> DataFrame:
+def _prefixed(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """Pairs of nodes of different classes that may have the similarity: none that has it is missing.
+
+    `nodes` has node, class, b0 and b1. Shingles are ordered from the rarest; two sets of the similarity share one among the
+    first of each. The smaller set needs fewer of them than the larger, so shingles of a common template stay out of its
+    part. A shingle's list is paired in blocks of BLOCK by BLOCK nodes.
+    """
+    least = lambda share: F.ceil(share * F.col("n") - 1e-6)
+    each = sets.join(nodes, "node").select("node", "class", "b0", "b1", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
+    met = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("met"))
+    place = F.row_number().over(Window.partitionBy("node").orderBy("met", "shingle")).alias("at")
+    ranked = each.join(met, "shingle").select("*", place).where(F.col("at") <= F.col("n") - least(similarity) + 1)
+    early = F.col("at") <= F.col("n") - least(2 * similarity / (1 + similarity)) + 1
+    listed = stage(ranked.where("met > 1").select("node", "class", "b0", "b1", "n", "shingle", "at", early.alias("early")))
+    lists = listed.groupBy("shingle").agg(
+        F.min("class").alias("_low"), F.max("class").alias("_high"),
+        F.ceil(F.count_if("early") / BLOCK).alias("rows"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("columns"),
+    )
+    placed = listed.join(lists.where("_low != _high and rows > 0").select("shingle", "rows", "columns"), "shingle")
+    every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
+    own = lambda count: F.pmod(F.xxhash64("node"), F.col(count))
+    names = ("node", "class", "b0", "b1", "n", "at")
+    short = placed.where("early").select("shingle", *names, own("rows").alias("row"), every("columns").alias("column"))
+    long = placed.select("shingle", *[F.col(c).alias(f"_{c}") for c in names], every("rows").alias("row"), own("columns").alias("column"))
+    ordered = (F.col("n") < F.col("_n")) | ((F.col("n") == F.col("_n")) & (F.col("node") < F.col("_node")))
+    # what follows the first shingle they share must be enough
+    common = 1 + F.least(F.col("n") - F.col("at"), F.col("_n") - F.col("_at"))
+    enough = common >= similarity / (1 + similarity) * (F.col("n") + F.col("_n")) - 1e-6
+    near = alike((F.col("b0"), F.col("b1")), (F.col("_b0"), F.col("_b1")))
+    found = short.join(long, ["shingle", "row", "column"]).where((F.col("class") != F.col("_class")) & ordered & enough & near)
+    return found.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
+
+
+def _rest(buckets: DataFrame, roots: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs of different classes that the first round did not compare, from buckets that still hold several classes.
 
-    Buckets over SMALL rows are split by each other such bucket of their nodes; a split one that is still large pairs
-    neighbours. Nodes of different classes that share a smaller bucket are paired there.
+    Buckets of at most SMALL rows pair all their nodes, the nodes of larger ones are paired by prefixes of their shingles.
     """
-    several = stage(_several(_classed(buckets.select("bucket", "band", "node", "rest", "b0", "b1"), roots)))
-    large = several.where(F.col("held") > SMALL)
-    again = large.select(F.col("node").alias("_node"), F.col("bucket").alias("_second"), F.col("band").alias("_band"))
-    split = large.join(again, (F.col("node") == F.col("_node")) & (F.col("band") < F.col("_band")))
-    split = stage(split.select(F.xxhash64("bucket", "_second").alias("bucket"), "node", "class", "rest", "b0", "b1"))
-    split = stage(_several(split))
-    left = neighbours(split.where(F.col("held") > SMALL))
-    return _crossed(several).union(_crossed(split)).union(_between(left, roots)).distinct()
+    several = stage(_several(_classed(buckets.select("bucket", "node", "b0", "b1"), roots)))
+    large = several.where(F.col("held") > SMALL).select("node", "class", "b0", "b1").distinct()
+    return _crossed(several).union(_prefixed(large, sets, similarity)).distinct()
 
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -233,6 +233,42 @@ def test_near_duplicates(odd, none, spark):
     assert found == plain_classes(rows)
 
 
+def linked_by_rare_shingles(rows):
+    """Least id of each document's class, by counting for all pairs the shingles that not all documents have."""
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in (text.split() for _, text in rows)]
+    shared = set.intersection(*sets)
+    holders: dict = {}
+    for i, one in enumerate(sets):
+        for shingle in one - shared:
+            holders.setdefault(shingle, []).append(i)
+    both: dict = {}
+    for held in holders.values():
+        for pair in ((a, b) for a in held for b in held if a < b):
+            both[pair] = both.get(pair, len(shared)) + 1
+    least = list(range(len(rows)))
+    assert len(shared) < 0.8 * 2 * min(map(len, sets)) / 1.8
+    for (a, b), n in sorted(both.items()):
+        if n >= 0.8 * (len(sets[a]) + len(sets[b]) - n) - 1e-9:
+            least[b] = min(least[a], least[b])
+    return {rows[i][0]: rows[least[i]][0] for i in range(len(rows))}
+
+
+def test_near_duplicates_in_a_template_group(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 256)
+    template, rng = [f"t{j}" for j in range(404)], random.Random(3)
+    rows = []
+    for i in range(1000):
+        # two texts of a pair share up to 2 words of their own, all others the template alone, at 0.797
+        head = [f"p{i}x{j}" for j in range(rng.choice((0, 1, 2)))]
+        rows += [(2 * i + k, " ".join(template + head + [f"o{i}x{k}x{j}" for j in range(51 - len(head))])) for k in range(2)]
+    rows = [(i, text) for i, (_, text) in enumerate(rng.sample(rows, len(rows)))]
+    want = linked_by_rare_shingles(rows)
+    assert 600 < sum(least != i for i, least in want.items()) < 750
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    missed = sum(r.class_id != want[r.doc_id] for r in found)
+    assert len(found) == len(rows) and missed == 0
+
+
 def test_signatures_estimate_probability_jaccard():
     shingles = mixed(np.arange(1, 301, dtype=np.uint64))
     a, b = shingles[:250], shingles[50:]

@@ -1,8 +1,8 @@
-"""Near-duplicate classes: weighted five-word shingles, ProbMinHash signatures, banding, verification, components.
+"""Near-duplicate classes: five-word shingles, ProbMinHash signatures, banding, verification, components.
 
-A text's shingles weigh 1 + ln(count). Each shingle is a Poisson process whose arrivals, at a rate of its weight, fall on
-random components; the first arrival on a component signs it, so two texts agree on a component with the probability of
-their probability Jaccard similarity. A shingle's process stops once its arrivals come after all components' signs.
+A link is defined on sets, so a text's shingles weigh 1 each, however often they occur. Each shingle is a Poisson process
+whose arrivals, at a rate of its weight, fall on random components; the first arrival on a component signs it, so two texts
+agree on a component with the probability of their Jaccard similarity. A shingle's process stops once its arrivals come after all components' signs.
 
 Texts with equal words are one node. Nodes that share a band's components fall into a bucket. Within a bucket a node is
 paired with the bucket's first node and with its neighbours in the order of the rest of the signature; no bucket is paired
@@ -41,8 +41,8 @@ SMALL = 48
 BLOCK = 1024
 
 
-def shingles_of(texts: list[bytes], words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct shingle hashes of each text, ascending, their counts, and the texts' bounds."""
+def shingles_of(texts: list[bytes], words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingle hashes of each text, ascending, and the texts' bounds."""
     codes, bounds = numbered(texts, words)
     runs, edges = windows(words.hash_array()[codes], bounds, width)
     text = np.repeat(np.arange(len(texts)), np.diff(edges))
@@ -51,9 +51,8 @@ def shingles_of(texts: list[bytes], words: Words, width: int = SHINGLE) -> tuple
     first = np.ones(len(runs), dtype=bool)
     first[1:] = (runs[1:] != runs[:-1]) | (text[1:] != text[:-1])
     at = np.flatnonzero(first)
-    counts = np.diff(np.append(at, len(runs)))
     sizes = np.bincount(text[at], minlength=len(texts))
-    return runs[at], counts, np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
+    return runs[at], np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
 
 
 def signatures(shingles: np.ndarray, weights: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarray:
@@ -89,8 +88,8 @@ def signed(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "_text"):
             texts, words = [text.lower() for text in texts_of(block, "_text")], Words()
-            shingles, counts, bounds = shingles_of(texts, words)
-            rows = signatures(shingles, 1 + np.log(counts), bounds, length).astype(np.uint32).view(np.int32)
+            shingles, bounds = shingles_of(texts, words)
+            rows = signatures(shingles, np.ones(len(shingles)), bounds, length).astype(np.uint32).view(np.int32)
             flat = pa.ListArray.from_arrays(pa.array(np.arange(len(texts) + 1, dtype=np.int32) * length), pa.array(rows.ravel()))
             digest = pa.array([hashlib.md5(b" ".join(text.split())).digest() for text in texts], pa.binary())
             bits = np.zeros((len(texts), 128), dtype=np.uint8)
@@ -233,7 +232,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "_text"):
-            shingles, _, bounds = shingles_of([text.lower() for text in texts_of(block, "_text")], Words())
+            shingles, bounds = shingles_of([text.lower() for text in texts_of(block, "_text")], Words())
             values = pa.array((shingles >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays([block.column("node"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values)], names=["node", "shingles"])
 

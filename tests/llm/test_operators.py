@@ -269,6 +269,17 @@ def test_near_duplicates_in_a_template_group(spark, monkeypatch):
     assert len(found) == len(rows) and missed == 0
 
 
+def test_near_duplicates_with_repeated_blocks(spark):
+    rows = []
+    for i in range(12):
+        shared, block = [f"s{i}x{j}" for j in range(400)], [f"b{i}x{j}" for j in range(66 + i % 2 * 25)]
+        rows += [(2 * i, " ".join(shared)), (2 * i + 1, " ".join(shared + block * 300))]
+    want = plain_classes(rows)
+    assert len(set(want.values())) == 12
+    found = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in found} == want
+
+
 def test_signatures_estimate_probability_jaccard():
     shingles = mixed(np.arange(1, 301, dtype=np.uint64))
     a, b = shingles[:250], shingles[50:]

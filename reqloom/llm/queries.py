@@ -38,7 +38,7 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every candidate secret with the forest's verdict; the run itself stays out of the result."""
     found = secret_scan.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return found.select("doc_id", "position", F.length("run").alias("length"), F.sha2("run", 256).alias("run_sha256"), "score", "is_secret")
+    return found.select("doc_id", "position", "offset", F.length("run").alias("length"), F.sha2("run", 256).alias("run_sha256"), "score", "is_secret")
 
 
 def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Secret scan: runs that look like keys are proposed, a random forest removes the false ones.
 
-Candidates are long runs of key characters inside words. The forest learns from labelled findings and sees length, shares
+Candidates are all long runs of key characters inside words, and shorter ones that a secret's name is given. The forest learns from labelled findings and sees length, shares
 and changes of character classes, distinct characters, how much of the run is made of the corpus' common letter triples
 (dictionary coverage), path signs, and the neighbouring words. All of it is DataFrame work.
 """
@@ -16,6 +16,9 @@ from reqloom.operators.staging import stage
 
 MIN_RUN = 16
 RUN = r"[A-Za-z0-9+/_-]{%d,}={0,2}" % MIN_RUN
+# A run with what stands before it since the run before; the parts of a word follow each other without gaps.
+PART = r"[^A-Za-z0-9+/_-]*[A-Za-z0-9+/_-]+={0,2}"
+GAP = r"^[^A-Za-z0-9+/_-]*"
 MAX_FINDINGS = 20_000
 #: Words counted as the dictionary; their letter triples (at most 26^3) go to every task.
 DICTIONARY = 20_000
@@ -25,6 +28,8 @@ THRESHOLD = 0.5
 # Names that announce a secret, and the shape of one public key format.
 NAMES = r"(?i)(password|passwd|secret|token|api_?key|access_?key|private_?key)"
 KEY_ID = r"^AKIA[0-9A-Z]{16}$"
+# The end of a text that gives its next run to a name.
+GIVEN = NAMES + r"[\"']?\x20*[=:]+\x20*[\"']?$"
 
 
 def words_of(text: Column) -> Column:
@@ -32,29 +37,42 @@ def words_of(text: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """doc_id, `row`, `position` (word number from 0), `word`, `run`, `before` (two words), `after` (one word)."""
+    """doc_id, `row`, `position` (word number from 0), `offset` (of the run in the word, from 0), `word`, `run`, `before` (two
+    words), `after` (one word), `given`: the run stands right behind a secret's name and a sign."""
     words = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), words_of(F.col("text")).alias("words"))
-    hits = F.filter(
-        F.transform("words", lambda w, i: F.struct(i.alias("position"), F.when(F.length(w) >= MIN_RUN, F.regexp_extract(w, RUN, 0)).otherwise("").alias("run"))),
-        lambda hit: hit["run"] != "",
-    )
-    each = words.select("doc_id", "row", "words", F.explode(hits).alias("hit"))
-    at = F.col("hit.position")
-    word = lambda i: F.coalesce(F.try_element_at("words", (at + 1 + i).cast("int")), F.lit(""))
-    earlier = lambda i: F.when(at >= i, word(-i)).otherwise("")
-    return each.select(
-        "doc_id", "row", at.alias("position"), word(0).alias("word"), F.col("hit.run").alias("run"),
-        F.concat_ws(" ", earlier(2), earlier(1)).alias("before"), word(1).alias("after"),
+    word = lambda at: F.coalesce(F.try_element_at("words", (at + 1).cast("int")), F.lit(""))
+    earlier = lambda at, i: F.when(at >= i, word(at - i)).otherwise("")
+    before = lambda at: F.concat_ws(" ", earlier(at, 2), earlier(at, 1))
+    # a short run can only be a candidate in a word that has a name, or right behind one
+    seen = lambda w, i: (F.length(w) >= MIN_RUN) | w.rlike(NAMES) | before(i).rlike(NAMES)
+    spots = F.filter(F.transform("words", lambda w, i: F.struct(i.alias("position"), seen(w, i).alias("seen"))), lambda spot: spot["seen"])
+    each = words.select("doc_id", "row", "words", F.explode(spots).alias("spot"))
+    at = F.col("spot.position")
+    each = each.select("doc_id", "row", at.alias("position"), word(at).alias("word"), before(at).alias("before"), word(at + 1).alias("after"))
+    each = each.withColumn("parts", F.regexp_extract_all("word", F.lit(PART), F.lit(0)))
+
+    def hit(part: Column, i: Column) -> Column:
+        previous = F.when(i > 0, F.try_element_at("parts", F.greatest(i, F.lit(1)).cast("int"))).otherwise(F.concat("before", F.lit(" ")))
+        given = F.concat(F.substring(previous, -64, 64), F.regexp_extract(part, GAP, 0)).rlike(GIVEN)
+        return F.struct(i.alias("i"), F.regexp_replace(part, GAP, "").alias("run"), given.alias("given"))
+
+    hits = F.filter(F.transform("parts", hit), lambda h: h["run"].rlike(f"^{RUN}$") | h["given"])
+    found = each.withColumn("hit", F.explode(hits))
+    until = F.length(F.array_join(F.slice("parts", F.lit(1), F.col("hit.i") + 1), ""))
+    return found.select(
+        "doc_id", "row", "position", (until - F.length("hit.run")).alias("offset"), "word", F.col("hit.run").alias("run"), "before", "after",
+        F.col("hit.given").alias("given"),
     )
 
 
 def labelled(found: DataFrame) -> DataFrame:
     """The candidates with `label`: 1 a key format or a run given to a secret's name, 0 letters or digits alone, else null."""
     name = F.regexp_extract("word", r"^(.*?)" + RUN, 1)
-    given = F.concat_ws(" ", "before", name).rlike(NAMES) & F.concat("before", F.lit(" "), name).rlike(r"[=:]")
+    first = F.concat_ws(" ", "before", name).rlike(NAMES) & F.concat("before", F.lit(" "), name).rlike(r"[=:]")
+    given = F.col("given") | (first & (F.col("offset") == F.length(name)) & F.col("run").rlike(f"^{RUN}$"))
     both = F.col("run").rlike("[0-9]") & F.col("run").rlike("[A-Za-z]")
     plain = ~F.col("run").rlike("[0-9]") | ~F.col("run").rlike("[A-Za-z]")
-    label = F.when(F.col("run").rlike(KEY_ID) | (given & both), 1.0).when(plain, 0.0)
+    label = F.when(F.col("run").rlike(KEY_ID) | (given & both), 1.0).when(plain & F.col("run").rlike(f"^{RUN}$"), 0.0)
     return found.withColumn("label", label)
 
 
@@ -79,7 +97,7 @@ def described(found: DataFrame, known: DataFrame) -> DataFrame:
     share = lambda pattern: F.regexp_count(run, F.lit(pattern)) / size
     classes = F.regexp_replace(F.regexp_replace(F.regexp_replace(run, "[A-Z]", "A"), "[a-z]", "a"), "[0-9]", "9")
     changes = F.length(F.regexp_replace(classes, r"(.)\1+", "$1")) - 1
-    keyed = found.withColumn("key", F.struct("row", "position"))
+    keyed = found.withColumn("key", F.struct("row", "position", "offset"))
     cut = keyed.select("key", F.explode(triples(run)).alias("triple"))
     met = cut.join(F.broadcast(known.withColumn("hit", F.lit(1))), "triple", "left").groupBy("key").agg(F.count("hit").alias("hits"), F.count(F.lit(1)).alias("all"))
     joined = keyed.join(met.withColumnRenamed("key", "_key"), F.col("key") == F.col("_key"), "left").drop("_key", "key")
@@ -107,7 +125,7 @@ def train(findings: DataFrame, most: int = MAX_FINDINGS) -> RandomForestClassifi
 
 
 def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
-    """doc_id, `position`, `word`, `run`, `score`, `is_secret` of every candidate in every whole text.
+    """doc_id, `position`, `offset`, `word`, `run`, `score`, `is_secret` of every candidate in every whole text.
 
     `docs` has doc_id and text; other columns play no part. `findings` are labelled candidates with their features; without
     them, `labelled` marks the corpus' own. Null and empty texts have no candidates. Rows that repeat are scanned each.
@@ -119,4 +137,4 @@ def scan(docs: DataFrame, findings: DataFrame | None = None) -> DataFrame:
         scored = found.withColumn("score", F.lit(1.0))
     else:
         scored = model.transform(found.withColumn("features", array_to_vector("x"))).withColumn("score", vector_to_array("probability")[1])
-    return scored.select("doc_id", "position", "word", "run", "score", (F.col("score") >= THRESHOLD).alias("is_secret"))
+    return scored.select("doc_id", "position", "offset", "word", "run", "score", (F.col("score") >= THRESHOLD).alias("is_secret"))

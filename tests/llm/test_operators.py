@@ -415,6 +415,16 @@ def test_secret_scan(odd, none, documents):
     assert rows and all(text[r.doc_id][r.position] == r.word and r.run in r.word for r in rows)
 
 
+def test_every_run_of_a_word_is_scanned(spark):
+    long, url = "aB3" * 8, "https://host/abcdefghijklmnop?token=" + "Zz9" * 7
+    text = f"id={long},token={long}x;password=hunter2 {url} see password: s3cret end short=abc1"
+    rows = secret_scan.scan(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
+    found = sorted((r.position, r.offset, r.run) for r in rows)
+    want = [(0, long), (0, long + "x"), (0, "hunter2"), (1, "//host/abcdefghijklmnop"), (1, "Zz9" * 7), (4, "s3cret")]
+    assert all(r.word[r.offset : r.offset + len(r.run)] == r.run for r in rows)
+    assert [(position, run) for position, _, run in found] == want
+
+
 def test_pipeline(spark, none):
     docs = spark.read.parquet(f"{SMALL}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES[:-1]:

@@ -10,8 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqloom.llm import line_dedup, lm_scoring, mixing, near_dedup, packing, personal_data, quality, quality_rules, secret_scan, top_k
-from reqloom.llm.shared import fold, table
+from reqloom.llm import line_dedup, lm_scoring, mixing, near_dedup, packing, periodic_runs, personal_data, quality, quality_rules, secret_scan, top_k
+from reqloom.llm.shared import WORD, fold, table
 from reqloom.operators.staging import stage
 
 
@@ -96,6 +96,37 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select("doc_id", *counts, "base_failed", kept.alias("kept"), "ratio")
 
 
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """Texts whose id's crc32 is divisible by ten get a periodic end: from word a on, the p words there repeat."""
+    crc = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0))
+    chosen = docs.where(crc % 10 == 0).select("doc_id", "text", F.floor(crc / 10).alias("_g"), words.alias("_w"))
+    n = F.size("_w")
+    placed = chosen.withColumn("_a", F.when(n > 0, F.col("_g") % n).cast("int"))
+    placed = placed.withColumn("_p", (1 + F.floor((n - F.col("_a")) / (3 + F.col("_g") % 8))).cast("int"))
+    times = F.ceil((n - F.col("_a")) / F.col("_p")).cast("int")
+    again = F.slice(F.flatten(F.array_repeat(F.slice("_w", F.col("_a") + 1, F.col("_p")), times)), F.lit(1), n - F.col("_a"))
+    whole = F.array_join(F.concat(F.slice("_w", F.lit(1), F.col("_a")), again), " ")
+    periodic = placed.select("doc_id", F.when(n > 0, whole).otherwise(F.col("text")).alias("text"))
+    return docs.where(crc % 10 != 0).select("doc_id", "text").unionByName(periodic)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest run of every document, and digests of all runs and of the words that stay."""
+    found = periodic_runs.runs(_with_periods(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    longer = lambda a, b: F.when(b["length"] > a["length"], b).otherwise(a)
+    longest = F.when(F.size("runs") > 0, F.aggregate("runs", F.col("runs")[0], longer))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        *[longest[name].alias(name) for name in ("start", "length", "period")],
+        F.floor(longest["length"] * 1000 / longest["period"]).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_mixing": op2_mixing,
@@ -107,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_personal_data": op8_personal_data,
     "op9_top_k": op9_top_k,
     "op10_quality_rules": op10_quality_rules,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {

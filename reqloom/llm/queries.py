@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqloom.llm import line_dedup, lm_scoring, mixing, near_dedup, packing, periodic_runs, personal_data, quality, quality_rules, secret_scan, top_k
+from reqloom.llm import alignment, line_dedup, lm_scoring, mixing, near_dedup, packing, periodic_runs, personal_data, quality, quality_rules, secret_scan, top_k
 from reqloom.llm.shared import WORD, fold, table
 from reqloom.operators.staging import stage
 
@@ -127,6 +127,12 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, a digest of the groups, and corpus-wide figures of the links of every document."""
+    found = alignment.align(table(spark, sf_dir, "documents").select("doc_id", "text"), digest=True)
+    return found.withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_mixing": op2_mixing,
@@ -139,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_top_k": op9_top_k,
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 ORACLE: dict[str, str] = {

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from reqloom.llm import alignment, line_dedup, lm_scoring, mixing, near_dedup, packing, periodic_runs, personal_data, quality, quality_rules, secret_scan, top_k
+from reqloom.llm import alignment, embedding_dedup, line_dedup, lm_scoring, mixing, near_dedup, packing, periodic_runs, personal_data, quality, quality_rules, secret_scan, top_k
 from reqloom.llm.shared import WORD, fold, table
 from reqloom.operators.staging import stage
 
@@ -133,6 +133,11 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("groups", "groups_sha256")
 
 
+def op13_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return embedding_dedup.linked(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_mixing": op2_mixing,
@@ -146,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
     "op11_periodic_runs": op11_periodic_runs,
     "op12_token_alignment": op12_token_alignment,
+    "op13_embedding_dedup": op13_embedding_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -160,6 +166,22 @@ WITH v AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s
 )
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5
+""",
+    "op13_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b WHERE a.vec_id <> b.vec_id
+    AND list_inner_product(a.v, b.v) / (sqrt(list_inner_product(a.v, a.v)) * sqrt(list_inner_product(b.v, b.v))) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT e.vec_id, (SELECT count(*) FROM links WHERE links.a = e.vec_id) AS n_links, component_id, e.vec_id = component_id AS kept
+FROM embeddings e JOIN least ON least.a = e.vec_id
 """,
     "op7_line_dedup": """
 WITH lines AS (

@@ -8,12 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reqloom.functions.pvalues import chi2_p_value, ks_p_value
 from reqloom.operators.generic import severity
-from reqloom.operators.prefix import sums_before
 from reqloom.operators.quality import known
 from reqloom.schemas import DRIFT_HIGH, DRIFT_MEDIUM, DRIFT_P_VALUE, RULES
 
@@ -25,6 +24,8 @@ METRIC_SERIES = {
     "payload_size": "payload_size",
 }
 CATEGORIES = ("endpoint", "status_code")
+# Ranges of a column's values that are summed by themselves.
+RANGES = 200
 
 
 class DriftError(ValueError):
@@ -62,29 +63,46 @@ def _counts(ref: DataFrame, cur: DataFrame, name: str) -> DataFrame:
     )
 
 
-def ks_statistics(ref: DataFrame, cur: DataFrame, single_task_rows: int | None = None) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov distance per column of `ref`, with both sample sizes; all in one pass."""
+def ks_statistics(ref: DataFrame, cur: DataFrame, ranges: int = RANGES) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov distance per column of `ref`, with both sample sizes.
+
+    A sketch cuts each column into `ranges`. Within a range running counts give the largest and the least gap; the gaps
+    before the range, known from the ranges' totals, shift both. So no values are stored and no task sorts a whole column.
+    """
     columns = ref.columns
-    counts = _counts(
-        ref.select(*[known(c).alias(c) for c in columns]), cur.select(*[known(c).alias(c) for c in columns]), "metric"
+    known_ref, known_cur = (df.select(*[known(c).alias(c) for c in columns]) for df in (ref, cur))
+    steps = F.array(*[F.lit(i / ranges) for i in range(1, ranges)])
+    sketch = [F.percentile_approx(c, steps, F.lit(10 * ranges)).alias(f"p{i}") for i, c in enumerate(columns)]
+    edges = known_ref.unionByName(known_cur).agg(*sketch).first()
+    counts = _counts(known_ref, known_cur, "metric")
+    totals = counts.groupBy("metric").agg(F.sum("n_ref").alias("_n_ref"), F.sum("n_cur").alias("_n_cur"))
+    sizes = {row["metric"]: row for row in totals.collect()}
+    spans, shares = F.lit(None).cast("bigint"), {"ref": F.lit(None).cast("bigint"), "cur": F.lit(None).cast("bigint")}
+    for i, name in enumerate(columns):
+        if name in sizes:
+            at = F.array(*[F.lit(edge) for edge in sorted(set(edges[f"p{i}"]))])
+            is_metric = F.col("metric") == name
+            spans = F.when(is_metric, F.size(F.filter(at, lambda edge: edge < F.col("value"))).cast("bigint")).otherwise(spans)
+            shares = {side: F.when(is_metric, F.lit(sizes[name][f"_n_{side}"])).otherwise(shares[side]) for side in shares}
+    upto = Window.partitionBy("metric", "_span").orderBy("value")
+    running = counts.withColumn("_span", spans).select(
+        "metric", "_span", "n_ref", "n_cur", *[F.sum(f"n_{side}").over(upto).alias(f"_c_{side}") for side in shares]
     )
-    sums = {"_c_ref": F.col("n_ref"), "_c_cur": F.col("n_cur")}
-    before = sums_before(counts, ["metric"], [F.col("value").asc()], sums, single_task_rows)
-    # one row per tested column
-    sizes = before.groupBy(F.col("metric").alias("_metric")).agg(
-        F.sum("n_ref").alias("_n_ref"), F.sum("n_cur").alias("_n_cur")
+    gap = F.coalesce(F.try_divide("_c_ref", shares["ref"]), F.lit(0.0)) - F.coalesce(F.try_divide("_c_cur", shares["cur"]), F.lit(0.0))
+    spanned = running.groupBy("metric", "_span").agg(
+        F.sum("n_ref").alias("_s_ref"), F.sum("n_cur").alias("_s_cur"), F.max(gap).alias("_most"), F.min(gap).alias("_least")
     )
-    share_ref = F.try_divide(F.col("_c_ref") + F.col("n_ref"), F.col("_n_ref"))
-    share_cur = F.try_divide(F.col("_c_cur") + F.col("n_cur"), F.col("_n_cur"))
-    return (
-        before.join(F.broadcast(sizes), F.col("metric") == F.col("_metric"))
-        .groupBy("metric")
-        .agg(
-            F.max("_n_ref").alias("n_ref"),
-            F.max("_n_cur").alias("n_cur"),
-            F.coalesce(F.max(F.abs(share_ref - share_cur)), F.lit(0.0)).alias("ks_statistic"),
-        )
+    # at most `ranges` rows per column from here on
+    earlier = Window.partitionBy("metric").orderBy("_span").rowsBetween(Window.unboundedPreceding, -1)
+    before = {side: F.coalesce(F.sum(f"_s_{side}").over(earlier), F.lit(0)) for side in shares}
+    shift = F.coalesce(F.try_divide(before["ref"], shares["ref"]), F.lit(0.0)) - F.coalesce(
+        F.try_divide(before["cur"], shares["cur"]), F.lit(0.0)
     )
+    gaps = spanned.select("metric", "_s_ref", "_s_cur", F.greatest(F.abs(shift + F.col("_most")), F.abs(shift + F.col("_least"))).alias("_gap"))
+    found = gaps.groupBy("metric").agg(F.sum("_s_ref").alias("n_ref"), F.sum("_s_cur").alias("n_cur"), F.max("_gap").alias("_gap"))
+    # an empty sample has no law to be apart from
+    both = (F.col("n_ref") > 0) & (F.col("n_cur") > 0)
+    return found.select("metric", "n_ref", "n_cur", F.when(both, F.col("_gap")).otherwise(F.lit(0.0)).alias("ks_statistic"))
 
 
 def chi2_statistics(ref: DataFrame, cur: DataFrame) -> DataFrame:

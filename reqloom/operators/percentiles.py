@@ -15,7 +15,6 @@ from pyspark.sql import types as T
 
 from reqloom.functions.measures import WEIGHT, cells
 from reqloom.operators.attach import same_keys
-from reqloom.operators.prefix import sums_before
 
 _CUM = "_upto"
 _ALL = "_all"
@@ -29,22 +28,17 @@ def percentile_summary(
     percents: Mapping[str, int],
     interpolate: bool = False,
     extra: Mapping[str, Column] | None = None,
-    any_scale: bool = False,
-    single_task_rows: int | None = None,
 ) -> DataFrame:
     """One row per `keys` with percentiles of `value`, over rows or over cells that count WEIGHT times.
 
     `percents` maps output names to whole percents. Discrete percentiles are the smallest value whose cumulative count
     reaches the percent; interpolated ones lie linearly between the two neighbours. Nulls and NaN do not count.
     `extra` holds further aggregates over the counts per (keys, value), which carry `value` and WEIGHT.
-
-    Columns that are not milliseconds may have any number of distinct values in any range: `any_scale` stages the value
-    counts and sums them by range when they are many (see prefix.sums_before). It is meant for few `keys`.
     """
     if _is_fractional(df, value):
         df = df.withColumn(value, F.nanvl(F.col(value).cast("double"), F.lit(None).cast("double")))
     counted = cells(df, *keys, value)
-    ranked = _ranked_staged(counted, keys, value, single_task_rows) if any_scale else _ranked(counted, keys, value)
+    ranked = _ranked(counted, keys, value)
     known = F.col(value).isNotNull()
     aggregates = dict(extra or {})
     if not interpolate:
@@ -76,15 +70,6 @@ def _is_fractional(df: DataFrame, value: str) -> bool:
     return isinstance(df.schema[value].dataType, (T.DoubleType, T.FloatType, T.DecimalType))
 
 
-def _ranked_staged(counted: DataFrame, keys: Sequence[str], value: str, single_task_rows: int | None) -> DataFrame:
-    counted = counted.where(F.col(value).isNotNull())
-    before = sums_before(counted, keys, [F.col(value).asc()], {_CUM: F.col(WEIGHT)}, single_task_rows)
-    # one row per key, and the keys are few
-    totals = before.groupBy(*[F.col(k).alias(f"_k_{k}") for k in keys]).agg(F.sum(WEIGHT).alias(_ALL))
-    upto = before.withColumn(_CUM, F.col(_CUM) + F.col(WEIGHT))
-    return upto.join(F.broadcast(totals), same_keys(upto, totals, [(k, f"_k_{k}") for k in keys]))
-
-
 def _ranked(counted: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """Adds the cumulative count up to and including each value, and the count of all known values."""
     known = F.when(F.col(value).isNotNull(), F.col(WEIGHT)).otherwise(F.lit(0))

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from reqloom.operators.percentiles import percentile_summary
+from reqloom.operators.selection import interpolated
 from reqloom.schemas import ERROR, ISSUE, QUALITY_IQR_MULTIPLIER, QUALITY_Z_LIMIT, RULES
 
 INFINITY = float("inf")
@@ -61,27 +61,13 @@ def _per_column(df: DataFrame, columns: Sequence[str], functions: Mapping) -> Da
     return wide.select(F.inline(F.array(*[F.col(f"_{i}") for i in range(len(columns))])))
 
 
-def iqr_bounds(
-    df: DataFrame,
-    columns: Sequence[str],
-    multiplier: float = QUALITY_IQR_MULTIPLIER,
-    single_task_rows: int | None = None,
-) -> DataFrame:
-    """Interpolated quartiles and outlier bounds, one row per column."""
-    long = df.select(*[known(c).alias(c) for c in columns]).unpivot([], list(columns), "column_name", "value")
-    quartiles = percentile_summary(
-        long.where(F.col("value").isNotNull()),
-        ["column_name"],
-        "value",
-        {"q1": 25, "q3": 75},
-        interpolate=True,
-        any_scale=True,
-        single_task_rows=single_task_rows,
-    )
-    spread = (F.col("q3") - F.col("q1")) * multiplier
-    return quartiles.select(
-        "column_name", "q1", "q3", (F.col("q1") - spread).alias("lower"), (F.col("q3") + spread).alias("upper")
-    )
+def iqr_bounds(df: DataFrame, columns: Sequence[str], multiplier: float = QUALITY_IQR_MULTIPLIER) -> DataFrame:
+    """Interpolated quartiles and outlier bounds, one row per column with values; exact, by rank selection."""
+    rows = []
+    for name, (q1, q3) in interpolated(df, columns, (25, 75)).items():
+        spread = (q3 - q1) * multiplier
+        rows.append((name, q1, q3, q1 - spread, q3 + spread))
+    return df.sparkSession.createDataFrame(rows, "column_name string, q1 double, q3 double, lower double, upper double")
 
 
 def zscore_flags(df: DataFrame, columns: Sequence[str], threshold: float = QUALITY_Z_LIMIT) -> dict[str, Column]:

@@ -262,7 +262,7 @@ WITH s AS (
 
 
 def _drift_tests(samples: str) -> str:
-    """Every test's p-value from its lower tail: the theta series of Kolmogorov's law, the series of the gamma law."""
+    """Every test's p-value from its lower tail: Kolmogorov's law by powers of 1 / sqrt(n), the series of the gamma law."""
     numeric = {"latency_mean": "latency", "latency_std": "latency", "is_error": "is_error", "payload_size": "payload_size"}
     distances = [f"SELECT '{m}' AS metric, n_ref, n_cur, d FROM ({_ks_raw(c)})" for m, c in numeric.items()]
     distances.append(
@@ -270,11 +270,21 @@ def _drift_tests(samples: str) -> str:
         "CASE WHEN count(*) FILTER (is_ref) = count(*) FILTER (NOT is_ref) THEN 0.0 ELSE 1.0 END FROM s"
     )
     return f"""{samples},
-ks AS (SELECT *, d * sqrt(n_ref * (n_cur / (n_ref + n_cur))) AS x FROM ({" UNION ALL ".join(distances)})),
+sized AS (SELECT *, round(n_ref * (n_cur / (n_ref + n_cur))) AS n FROM ({" UNION ALL ".join(distances)})),
+placed AS (SELECT *, d * sqrt(n) AS x, [pow((k + 0.5) * pi(), 2) FOR k IN range(-40, 40)] AS o,
+  [pow(k * pi(), 2) FOR k IN range(-40, 41)] AS v FROM sized),
+ks AS (SELECT *, CASE WHEN x * x > 18 OR 2 * n * d <= 1 THEN 0.0 ELSE sqrt(pi() / 2) * (
+    list_sum([exp(-u / (2*x*x)) FOR u IN o]) / x
+    + list_sum([(u - x*x) * exp(-u / (2*x*x)) FOR u IN o]) / (6 * pow(x, 4) * sqrt(n))
+    + list_sum([(6*pow(x,6) + 2*pow(x,4) + (2*pow(x,4) - 5*x*x) * u + (1 - 2*x*x) * u*u) * exp(-u / (2*x*x)) FOR u IN o]) / (72 * pow(x, 7) * n)
+    - list_sum([u * exp(-u / (2*x*x)) FOR u IN v]) / (36 * pow(x, 3) * n)
+    + list_sum([((5 - 30*x*x) * pow(u,3) + (212*pow(x,4) - 60*x*x) * u*u + (135*pow(x,4) - 96*pow(x,6)) * u - 30*pow(x,6) - 90*pow(x,8))
+        * exp(-u / (2*x*x)) FOR u IN o]) / (6480 * pow(x, 10) * pow(n, 1.5))
+    + list_sum([(3*x*x*u - u*u) * exp(-u / (2*x*x)) FOR u IN v]) / (216 * pow(x, 6) * pow(n, 1.5))) END AS below FROM placed),
 chi2 AS (SELECT *, CAST(degrees AS DOUBLE) / 2 AS a FROM ({_chi2("endpoint", 15)} UNION ALL {_chi2("status_code", 15)})),
 tests AS (
-  SELECT 'drift_numeric' AS rule, metric, CAST(d AS DOUBLE) AS statistic, CASE WHEN x < 0.05 THEN 1.0 ELSE greatest(0.0,
-    1 - sqrt(2 * pi()) / x * list_sum([exp(-pow((2 * k - 1) * pi(), 2) / (8 * x * x)) FOR k IN range(1, 4001)])) END AS p
+  SELECT 'drift_numeric' AS rule, metric, CAST(d AS DOUBLE) AS statistic, CASE WHEN 2 * n * d <= 1 THEN 1.0
+    WHEN x * x > 18 THEN 0.0 ELSE greatest(0.0, 1 - below) END AS p
   FROM ks
   UNION ALL
   SELECT 'drift_categorical', column_name, chi2, CASE WHEN chi2 <= 0 THEN 1.0 ELSE greatest(0.0,
@@ -285,7 +295,7 @@ tests AS (
 
 def _drift_report(samples: str) -> str:
     return f"""{_drift_tests(samples)}
-SELECT rule, metric, round(statistic, 6) AS statistic, round(p, 6) AS p_value, p < CAST(0.05 AS DOUBLE) AS drifted,
+SELECT rule, metric, round(statistic, 6) AS statistic, round(p, 5) AS p_value, p < CAST(0.05 AS DOUBLE) AS drifted,
   CASE WHEN p < CAST(0.05 AS DOUBLE) THEN 'Drift detected in metric ' || metric END AS message
 FROM tests"""
 

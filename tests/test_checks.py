@@ -8,7 +8,8 @@ from itertools import combinations
 import pytest
 from pyspark.sql import functions as F
 
-from reqloom.functions.pvalues import _ks_limit, chi2_p_value, ks_p_value
+from reqloom.functions import pvalues
+from reqloom.functions.pvalues import chi2_p_value, ks_p_value, ks_tail
 from reqloom.operators import consistency as C
 from reqloom.operators import drift as D
 from reqloom.operators import quality as Q
@@ -168,6 +169,7 @@ def test_ks_fixed_points():
     assert ks_p_value(1.0, 1, 1, "exact") == pytest.approx(1.0)
     assert ks_p_value(0.0, 5, 5, "exact") == 1.0
     assert ks_p_value(0.5, 0, 5) == 1.0
+    assert [ks_p_value(1.0, n, n) for n in (1, 2, 3)] == pytest.approx([1.0, 1 / 3, 0.1])
 
 
 @pytest.mark.parametrize("m, n", [(3, 3), (4, 3), (5, 2), (6, 4), (1, 7)])
@@ -188,10 +190,27 @@ def test_ks_equals_enumeration(m, n):
         assert ks_p_value(d, m, n, "exact") == pytest.approx(sum(g >= d - 1e-12 for g in gaps) / len(gaps))
 
 
-def test_ks_exact_meets_the_limit():
+# Kolmogorov's law for finite samples as published with the matrix method.
+@pytest.mark.parametrize("n, d, below", [(10, 0.274, 0.6284796154565), (2000, 0.04, 0.99676943191713676985)])
+def test_ks_law_for_finite_samples(n, d, below):
+    assert ks_tail(d, n) == pytest.approx(1 - below, rel=1e-9)
+
+
+def test_ks_expansion_meets_the_matrix():
+    for n in (1000, 4000):
+        for x in (0.4, 0.7, 1.0, 1.4, 2.0):
+            assert pvalues._ks_expansion(x, n) == pytest.approx(pvalues._ks_matrix(x / n**0.5, n), abs=1e-7)
+    assert ks_tail(0.016, 16_000) == pytest.approx(1 - 0.99945234913828052085, abs=1e-9)
+    # one number: the gap is at least 1/2
+    assert ks_tail(0.5, 1) == 1.0 and ks_tail(0.75, 1) == pytest.approx(0.5) and ks_tail(1.0, 1) == 0.0
+    # far out, and for any size, without a jump
+    assert ks_tail(4.25 / 1e5, 10**10) == pytest.approx(2 * math.exp(-2 * 4.25**2), rel=1e-3)
+
+
+def test_ks_exact_meets_the_law():
     n = 4000
     d = 120 / n
-    assert ks_p_value(d, n, n, "exact") == pytest.approx(_ks_limit(d * math.sqrt(n / 2)), abs=3e-3)
+    assert ks_p_value(d, n, n, "exact") == pytest.approx(ks_tail(d, n // 2), abs=3e-3)
     assert 0 <= ks_p_value(0.5, 9000, 9000, "exact") < 1e-200
     assert 0 < ks_p_value(0.02, 10**9, 5000) < 0.05
     with pytest.raises(ValueError):

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from reqloom.operators import drift, errors, latency, quality, staging, users
+from reqloom.operators import drift, errors, latency, quality, selection, staging, users
 from reqloom.operators.attach import attach_stats
 from reqloom.operators.percentiles import percentile_summary
 from reqloom.operators.prefix import sums_before
@@ -84,19 +84,61 @@ def test_ranked_tables(requests, operator):
     assert rows_of(operator(requests, **LARGE)) == rows_of(operator(requests))
 
 
-def test_iqr_bounds_and_ks(spark):
+def test_iqr_bounds(spark):
     draw = random.Random(3)
     values = [draw.gauss(0, 10) for _ in range(500)] + [1.0] * 200 + [None, float("nan")]
-    df = spark.createDataFrame([(v, i) for i, v in enumerate(values)], "value double, i int")
+    df = spark.createDataFrame([(v, i, None) for i, v in enumerate(values)], "value double, i int, `no value` double")
     known = np.array([v for v in values if v is not None and v == v])
     q1, q3 = np.quantile(known, [0.25, 0.75])
-    for limit in (0, 10**6):
-        row = {r["column_name"]: r for r in quality.iqr_bounds(df, ["value", "i"], single_task_rows=limit).collect()}
-        assert row["value"]["q1"] == pytest.approx(q1)
-        assert row["value"]["q3"] == pytest.approx(q3)
-        assert row["value"]["lower"] == pytest.approx(q1 - 1.5 * (q3 - q1))
-    ref, cur = df.where("i < 300").select("value"), df.where("i >= 300").select("value")
-    assert rows_of(drift.ks_statistics(ref, cur, 0)) == rows_of(drift.ks_statistics(ref, cur))
+    row = {r["column_name"]: r for r in quality.iqr_bounds(df, ["value", "i", "no value"]).collect()}
+    assert set(row) == {"value", "i"} and row["value"]["q1"] == pytest.approx(q1)
+    assert row["value"]["q3"] == pytest.approx(q3)
+    assert row["value"]["lower"] == pytest.approx(q1 - 1.5 * (q3 - q1))
+
+
+def test_rank_selection(spark):
+    """Brackets narrow over several rounds: wide and tied values, infinities, one value, columns beyond one pass."""
+    draw = random.Random(4)
+    inf = float("inf")
+    columns = {
+        "wide": [draw.lognormvariate(0, 8) for _ in range(3000)],
+        "tied": [float(draw.choice([0, 0, 0, 1, 2])) for _ in range(3000)],
+        "signs": [draw.choice([-inf, inf, draw.gauss(0, 1), None, float("nan")]) for _ in range(3000)],
+        "same": [7.0] * 3000,
+        "few": [float(i) if i < 3 else None for i in range(3000)],
+        "none": [None] * 3000,
+    }
+    schema = ", ".join(f"{name} double" for name in columns)
+    df = spark.createDataFrame(list(zip(*columns.values())), schema).repartition(3)
+    ranks = lambda n: sorted({0, n // 4, n // 4 + 1, n // 2, n - 1}) if n > 4 else list(range(n))
+    for keep, accuracy in ((10, 20), (200, 50), (10**6, 10_000)):
+        got = selection.values_at(df, list(columns), ranks, keep, accuracy)
+        for name, values in columns.items():
+            known = sorted(v for v in values if v is not None and v == v)
+            assert got[name] == (len(known), {rank: known[rank] for rank in ranks(len(known))}), (name, keep)
+    many = df.select(*[(F.col("wide") + i).alias(f"c{i}") for i in range(30)])
+    quartiles = selection.interpolated(many, many.columns, (25, 50, 75), 50, 100)
+    for i, name in enumerate(many.columns):
+        assert quartiles[name] == pytest.approx(list(np.quantile(np.array(columns["wide"]) + i, [0.25, 0.5, 0.75])))
+
+
+@pytest.mark.parametrize("ranges", [2, 7, 200])
+def test_ks_by_ranges(spark, ranges):
+    draw = random.Random(6)
+    inf = float("inf")
+    names = ("a", "tied", "ends", "gone")
+
+    def sample(n, shift):
+        return [(draw.gauss(shift, 1), float(draw.choice([0, 0, 1])), draw.choice([-inf, inf, 0.5, None]), None if shift else 1.0) for _ in range(n)]
+
+    ref, cur = sample(700, 0.0), sample(450, 0.1)
+    schema = ", ".join(f"{name} double" for name in names)
+    rows = {r["metric"]: r for r in drift.ks_statistics(spark.createDataFrame(ref, schema), spark.createDataFrame(cur, schema), ranges).collect()}
+    for i, name in enumerate(names):
+        a, b = ([row[i] for row in rows_ if row[i] is not None] for rows_ in (ref, cur))
+        gaps = [abs(sum(v <= p for v in a) / len(a) - sum(v <= p for v in b) / len(b)) for p in {*a, *b}] if a and b else [0.0]
+        assert (rows[name]["n_ref"], rows[name]["n_cur"]) == (len(a), len(b))
+        assert rows[name]["ks_statistic"] == pytest.approx(max(gaps))
 
 
 def test_ks_statistic_is_the_largest_gap(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from reqloom.functions.measures import flag, is_4xx, is_5xx, share, total, total_if, weight_of, with_dims
 from reqloom.operators.ranking import Ranking, rank_within
-from reqloom.operators.rolling import BUCKET_SECONDS, Lookback, key_column, neighbours, rolling_counts
+from reqloom.operators.rolling import BUCKET_SECONDS, Lookback, as_rows, key_column, neighbours, rolling_instants
 from reqloom.schemas import TOP_ENDPOINTS
 
 HOUR = 3600
@@ -36,7 +36,7 @@ def errors_hourly(requests: DataFrame) -> DataFrame:
 
 def errors_rolling(requests: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Per request: server errors and requests of its path over the last hour and day, with the rate before and after."""
-    rolled = rolling_counts(
+    rolled = rolling_instants(
         requests,
         "api_path",
         "event_timestamp",
@@ -53,7 +53,8 @@ def errors_rolling(requests: DataFrame, bucket_seconds: int = BUCKET_SECONDS) ->
             "rolling_rate_5xx_24h": F.try_divide("rolling_5xx_24h", "rolling_total_24h"),
         }
     )
-    trend = neighbours(rates, "rolling_rate_5xx_1h", previous="prev_rate_5xx_1h", following="next_rate_5xx_1h")
+    sides = {"previous": "prev_rate_5xx_1h", "following": "next_rate_5xx_1h"}
+    trend = as_rows(neighbours(rates, "rolling_rate_5xx_1h", **sides), "rolling_rate_5xx_1h", **sides)
     return trend.select(
         F.col("_ts").alias("event_timestamp"),
         key_column().alias("api_path"),

@@ -9,6 +9,10 @@ The totals come from one small aggregate per (key, bucket). The two parts are ru
 copy of each row, moved forward by the look-back, is placed in the bucket that will subtract it. One shuffle by
 (key, bucket) and one running sum therefore give every look-back at once, and a hot key spreads over its buckets.
 
+Rows of one key and instant share their sums, so they are counted first, on the map side, and the instant with its number
+of rows is what is copied and summed; it becomes rows again at the end. A bucket holds as many instants as its clock has,
+60,000 a minute in milliseconds, however many rows share them.
+
 Keys with few rows need no buckets: WHOLE_KEY makes one bucket of all time, without totals and edges. `split_busy` tells
 the two kinds of key apart.
 """
@@ -28,6 +32,7 @@ WHOLE_KEY = 0
 
 # Rows of one key that one task may sort.
 ROWS_PER_KEY = 5_000_000
+ROWS_AT_ONCE = 65_536
 
 # A null key is a group of its own: (key is null, key or '') never holds a null.
 _KEY = ["_key_null", "_key"]
@@ -104,26 +109,38 @@ def rolling_counts(
 ) -> DataFrame:
     """Per row: how many rows, and how many flagged ones, of the same key lie in each look-back.
 
-    `flagged` is 0 or 1. Returns the internal key and bucket columns, `_ts` and the sums; see `neighbours` and
-    `key_column`.
+    `flagged` is 0 or 1. Returns the internal key and bucket columns, `_ts` and the sums; see `key_column`.
     """
+    return as_rows(rolling_instants(rows, key, ts, flagged, lookbacks, bucket_seconds))
+
+
+def rolling_instants(
+    rows: DataFrame,
+    key: str,
+    ts: str,
+    flagged: Column,
+    lookbacks: Sequence[Lookback],
+    bucket_seconds: int = BUCKET_SECONDS,
+) -> DataFrame:
+    """As `rolling_counts`, one row per key and instant with the number of its rows, `_rows`; see `as_rows`."""
     in_buckets = bucket_seconds != WHOLE_KEY
     if in_buckets and any(lookback.seconds % bucket_seconds for lookback in lookbacks):
         raise ValueError("a look-back must be a whole number of buckets")
-    base = keyed(rows, key, ts, bucket_seconds, _x=flagged)
+    each = keyed(rows, key, ts, bucket_seconds, _x=flagged)
+    base = each.groupBy(*_CELL, "_ts").agg(F.count(F.lit(1)).alias("_n"), F.sum("_x").alias("_x"))
 
-    # kind 0: the row itself; i: its copy moved forward by look-back i; -i: bucket totals of look-back i
+    # kind 0: the instant itself; i: its copy moved forward by look-back i; -i: bucket totals of look-back i
     moved = base.select(
         *_KEY,
         F.inline(
             F.array(
-                _cell(F.lit(0), F.col(_BUCKET), F.col("_ts"), F.lit(1), F.col("_x")),
+                _cell(F.lit(0), F.col(_BUCKET), F.col("_ts"), F.col("_n"), F.col("_x")),
                 *[
                     _cell(
                         F.lit(i),
                         F.col(_BUCKET) + (lookback.seconds // bucket_seconds if in_buckets else 0),
                         F.col("_ts") + F.expr(f"INTERVAL {lookback.seconds} SECOND"),
-                        F.lit(1),
+                        F.col("_n"),
                         F.col("_x"),
                     )
                     for i, lookback in enumerate(lookbacks, 1)
@@ -132,7 +149,7 @@ def rolling_counts(
         ),
     )
     if in_buckets:
-        moved = moved.unionByName(_bucket_totals(base, lookbacks, bucket_seconds))
+        moved = moved.unionByName(_bucket_totals(each, lookbacks, bucket_seconds))
     placed = by_cell(moved)
 
     # Bucket totals sort first, then rows up to the same instant, then the copies that leave after it.
@@ -147,7 +164,22 @@ def rolling_counts(
                 .otherwise(F.lit(0))
             )
             sums.append(F.sum(signed).over(upto).alias(name))
-    return placed.select(*_CELL, "_ts", "_kind", *sums).where(F.col("_kind") == 0).drop("_kind")
+    return placed.select(*_CELL, "_ts", F.col("_n").alias("_rows"), "_kind", *sums).where(F.col("_kind") == 0).drop("_kind")
+
+
+def as_rows(instants: DataFrame, value: str | None = None, previous: str | None = None, following: str | None = None) -> DataFrame:
+    """A row for each of an instant's rows. Of rows that share an instant, only the first has the instant before as its
+    previous row, and only the last the one after as its following row; for the others both hold the own `value`.
+
+    Numbers are made in two steps, so that an instant of billions of rows is no array of that length.
+    """
+    last = F.floor((F.col("_rows") - 1) / ROWS_AT_ONCE).cast("bigint")
+    parts = instants.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    first = F.col("_part") * ROWS_AT_ONCE + 1
+    rows = parts.withColumn("_place", F.explode(F.sequence(first, F.least(first + (ROWS_AT_ONCE - 1), F.col("_rows")))))
+    edges = {previous: F.col("_place") == 1, following: F.col("_place") == F.col("_rows")}
+    sides = {name: F.when(edge, F.col(name)).otherwise(F.col(value)) for name, edge in edges.items() if name}
+    return rows.withColumns(sides).drop("_rows", "_part", "_place") if sides else rows.drop("_rows", "_part", "_place")
 
 
 def _cell(kind: Column, bucket: Column, ts: Column, n: Column, x: Column) -> Column:

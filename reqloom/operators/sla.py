@@ -9,7 +9,7 @@ from reqloom.functions.measures import WEIGHT, flag, share, total, with_dims
 from reqloom.operators.errors import HOUR
 from reqloom.operators.latency import LATENCY
 from reqloom.operators.percentiles import percentile_summary
-from reqloom.operators.rolling import BUCKET_SECONDS, Lookback, key_column, neighbours, rolling_counts
+from reqloom.operators.rolling import BUCKET_SECONDS, Lookback, as_rows, key_column, neighbours, rolling_instants
 
 # Upper limits in milliseconds, exclusive.
 SLA_LIMITS = {"sla_lt_500ms_rate": 500, "sla_lt_1s_rate": 1000, "sla_lt_2s_rate": 2000}
@@ -44,7 +44,7 @@ def sla_daily(requests: DataFrame) -> DataFrame:
 
 def sla_rolling_drift(requests: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Per request: share under 500 ms over the path's last hour and its change against the previous request."""
-    rolled = rolling_counts(
+    rolled = rolling_instants(
         requests,
         "api_path",
         "event_timestamp",
@@ -53,7 +53,8 @@ def sla_rolling_drift(requests: DataFrame, bucket_seconds: int = BUCKET_SECONDS)
         bucket_seconds,
     )
     rate, previous = "rolling_sla_rate_500ms_1h", "prev_rolling_sla_rate_500ms_1h"
-    trend = neighbours(rolled.withColumn(rate, F.try_divide("_ok", "_total")), rate, previous=previous)
+    rates = rolled.withColumn(rate, F.try_divide("_ok", "_total"))
+    trend = as_rows(neighbours(rates, rate, previous=previous), rate, previous=previous)
     return trend.where(F.col(previous).isNotNull()).select(
         F.col("_ts").alias("event_timestamp"),
         key_column().alias("api_path"),

@@ -15,9 +15,10 @@ from reqloom.operators.rolling import (
     ROWS_PER_KEY,
     WHOLE_KEY,
     Lookback,
+    as_rows,
     key_column,
     neighbours,
-    rolling_counts,
+    rolling_instants,
     split_busy,
 )
 
@@ -92,7 +93,7 @@ def user_rolling_activity(requests: DataFrame, rows_per_user: int = ROWS_PER_KEY
 
 def _rolling_activity(requests: DataFrame, bucket_seconds: int) -> DataFrame:
     count = "rolling_requests_1h"
-    rolled = rolling_counts(
+    rolled = rolling_instants(
         requests,
         "user_uid",
         "event_timestamp",
@@ -100,14 +101,9 @@ def _rolling_activity(requests: DataFrame, bucket_seconds: int) -> DataFrame:
         [Lookback(HOUR, count, "rolling_5xx_1h")],
         bucket_seconds,
     )
-    trend = neighbours(
-        rolled,
-        count,
-        previous="prev_rolling_requests_1h",
-        following="next_rolling_requests_1h",
-        also_read=["rolling_5xx_1h"],
-        whole_key=bucket_seconds == WHOLE_KEY,
-    )
+    sides = {"previous": "prev_rolling_requests_1h", "following": "next_rolling_requests_1h"}
+    looked = neighbours(rolled, count, **sides, also_read=["rolling_5xx_1h"], whole_key=bucket_seconds == WHOLE_KEY)
+    trend = as_rows(looked, count, **sides)
     return trend.select(
         F.col("_ts").alias("event_timestamp"),
         key_column().alias("user_uid"),

@@ -78,6 +78,23 @@ def test_neighbours(frame, rows, bucket_seconds):
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("bucket_seconds", [rolling.WHOLE_KEY, 60])
+def test_rows_of_one_instant(spark, monkeypatch, bucket_seconds):
+    """Copies of an instant become rows again, in parts, with their neighbours by row."""
+    monkeypatch.setattr(rolling, "ROWS_AT_ONCE", 3)
+    data = [("a", START, 1)] * 7 + [("a", START + timedelta(seconds=30), 0)] * 2 + [("a", START + timedelta(hours=2), 1)]
+    frame = spark.createDataFrame(data, "k string, ts timestamp_ntz, x int")
+    instants = rolling.rolling_instants(frame, "k", "ts", F.col("x"), [Lookback(3600, "n", "f")], bucket_seconds)
+    assert sorted(r["_rows"] for r in instants.collect()) == [1, 2, 7]
+    sides = {"previous": "before", "following": "after"}
+    looked = rolling.as_rows(neighbours(instants, "n", **sides, whole_key=bucket_seconds == rolling.WHOLE_KEY), "n", **sides)
+    got = sorted((r["_ts"], r["n"], r["f"], r["before"], r["after"]) for r in looked.na.fill(-1).collect())
+    second, last = START + timedelta(seconds=30), START + timedelta(hours=2)
+    want = [(START, 7, 7, -1, 7)] + [(START, 7, 7, 7, 7)] * 5 + [(START, 7, 7, 7, 9)]
+    want += [(second, 9, 7, 7, 9), (second, 9, 7, 9, 1), (last, 1, 1, 9, -1)]
+    assert got == sorted(want)
+
+
 def test_running_mean(frame, rows):
     named = frame.select(F.col("k"), F.col("ts").alias("event_timestamp"), F.lpad("id", 5, "0").alias("trace"), "id")
     got = {r["trace"]: r for r in rolling.running_mean(named, "k", "id").collect()}

@@ -14,6 +14,7 @@ from reqloom.functions.measures import is_4xx, is_5xx, share, total, total_if
 from reqloom.operators.consistency import check_rows
 from reqloom.operators.quality import is_invalid, numeric_columns
 from reqloom.operators.sla import SLA_LIMITS
+from reqloom.operators.staging import stage
 from reqloom.schemas import EVENT_ENVELOPE, SAFE_NAME
 
 
@@ -81,24 +82,35 @@ def refresh_on_batch(
     requests: DataFrame,
     store: str,
     checkpoint: str,
-    refresh: Callable[[DataFrame], None],
-    hours: int = 25,
+    refresh: Callable[[DataFrame, DataFrame], None],
+    key: str = "api_path",
 ) -> StreamingQuery:
-    """Appends each micro-batch to the store, then calls `refresh` with the stored rows a batch can affect.
+    """Appends each micro-batch to the store, then calls `refresh(rows, valid_from)` with what it needs for exact results.
 
-    Exact rolling metrics need rows before the batch, so `refresh` gets everything from `hours` before the batch's
-    earliest row. Each batch goes to its own folder: a repeated batch replaces it instead of adding rows twice.
+    A batch changes a key's rolling rows from its earliest request on, and the request before that, whose following one is
+    new. `valid_from` has a row per key of the batch: `key`, and the time from which the key's rows of any rolling table
+    built from `rows` equal those of the whole store; see `valid_rows`. Their look-backs (a day at most) and their previous
+    requests are in `rows`, however long the key was silent and however late the batch is.
+
+    The store is partitioned by day and batch; a repeated batch replaces its own partitions. Beside it, `store`_days lists
+    each batch's keys and days, so that only days that are needed are read. Requests without a time are stored and take no
+    part in a refresh.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        folder = f"{store.rstrip('/')}/batch_id={batch_id}"
-        batch.write.mode("overwrite").parquet(folder)
         spark = batch.sparkSession
-        earliest = spark.read.schema(batch.schema).parquet(folder).agg(F.min("event_timestamp")).first()[0]
-        if earliest is not None:
-            since = F.lit(earliest.isoformat(sep=" ")).cast("timestamp_ntz") - F.expr(f"INTERVAL {hours} HOUR")
-            stored = spark.read.schema(batch.schema).parquet(store)
-            refresh(stored.where(F.col("event_timestamp") >= since))
+        dated = batch.withColumns({"event_date": F.to_date("event_timestamp"), "batch_id": F.lit(batch_id)})
+        writer = dated.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("event_date", "batch_id").parquet(store)
+        schema = T.StructType([*batch.schema.fields, T.StructField("event_date", T.DateType()), T.StructField("batch_id", T.LongType())])
+        stored = spark.read.schema(schema).parquet(store)
+        new = stored.where((F.col("batch_id") == batch_id) & F.col("event_date").isNotNull())
+        folder = f"{store.rstrip('/')}_days"
+        new.select(F.col(key).alias("_key"), "event_date").distinct().write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        days = spark.read.schema(T.StructType([T.StructField("_key", batch.schema[key].dataType), T.StructField("event_date", T.DateType())])).parquet(folder)
+        rows, valid_from = _affected(stored, days, new, key)
+        if valid_from is not None:
+            refresh(rows.select(batch.columns), valid_from)
 
     return (
         requests.writeStream.foreachBatch(on_batch)
@@ -106,3 +118,37 @@ def refresh_on_batch(
         .trigger(availableNow=True)
         .start()
     )
+
+
+def _affected(stored: DataFrame, days: DataFrame, new: DataFrame, key: str) -> tuple[DataFrame | None, DataFrame | None]:
+    """Stored rows that the refresh of a batch needs, and per key the time from which results are whole.
+
+    Per key: the day of the batch's earliest request, the two latest days with requests before it (they hold the request
+    before and the one before that), and the day before the earliest of these, for its look-back. Nothing of the key lies
+    between those days, so every day from there on is taken.
+    """
+    first = new.groupBy(F.col(key).alias("_key")).agg(F.min("event_timestamp").alias("_first"))
+    first = stage(first)
+    if first.isEmpty():
+        return None, None
+    known = days.select(F.col("_key").alias("_k"), "event_date").distinct()
+    met = first.join(known, F.col("_key").eqNullSafe(F.col("_k")))
+    earlier = F.sort_array(F.collect_set(F.when(F.col("event_date") < F.to_date("_first"), F.col("event_date"))), asc=False)
+    since = F.date_sub(F.coalesce(F.get("_earlier", F.lit(1)), F.get("_earlier", F.lit(0)), F.to_date("_first")), 1)
+    reach = met.groupBy("_key").agg(F.first("_first").alias("_first"), earlier.alias("_earlier")).select("_key", "_first", since.alias("_since"))
+    reach = stage(reach)
+    # as many dates as days are read
+    wanted = reach.select(F.col("_key").alias("_a"), "_since").join(known, F.col("_a").eqNullSafe(F.col("_k")) & (F.col("event_date") >= F.col("_since")))
+    dates = [row["event_date"] for row in wanted.select("event_date").distinct().collect()]
+    near = stored.where(F.col("event_date").isin(dates))
+    rows = near.join(reach, near[key].eqNullSafe(reach["_key"]) & (near["event_date"] >= reach["_since"]))
+    before = F.max(F.when(F.col("event_timestamp") < F.col("_first"), F.col("event_timestamp")))
+    valid = rows.groupBy("_key", "_first").agg(before.alias("_before"))
+    return rows, stage(valid.select(F.col("_key").alias(key), F.coalesce("_before", "_first").alias("valid_from")))
+
+
+def valid_rows(table: DataFrame, valid_from: DataFrame, key: str = "api_path") -> DataFrame:
+    """The rows of a refreshed table that take the place of the stored ones: each key's from its `valid_from` on."""
+    since = valid_from.select(F.col(key).alias("_key"), "valid_from")
+    both = table.join(since, table[key].eqNullSafe(since["_key"]) & (F.col("event_timestamp") >= F.col("valid_from")))
+    return both.select(*[table[name] for name in table.columns])

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -306,18 +307,53 @@ def test_request_stream(spark, tmp_path):
     assert got.agg(F.sum("latency_ms")).first()[0] == 6
 
 
-def test_refresh_on_batch(spark, requests, request_files, tmp_path):
+@pytest.mark.parametrize("key", ["api_path", "user_uid"])
+def test_refresh_on_batch(spark, tmp_path, key):
+    """Batches out of order, a key that is silent for weeks, ties, late requests, a null key: as if built at once."""
     from reqloom.operators.errors import errors_rolling
-
-    seen = {}
-
-    def refresh(recent):
-        for row in errors_rolling(recent).collect():
-            seen[(row["event_timestamp"], row["api_path"])] = tuple(row)
-
-    stream = spark.readStream.schema(requests.schema).option("maxFilesPerTrigger", 1).parquet(request_files)
-    query = streams.refresh_on_batch(stream, str(tmp_path / "store"), str(tmp_path / "ck"), refresh, hours=24 * 40)
+    from reqloom.operators.users import user_rolling_activity
+
+    build = errors_rolling if key == "api_path" else user_rolling_activity
+    draw = random.Random(8)
+    start = datetime(2024, 1, 1)
+    data = []
+    for batch, span in enumerate([(0, 3), (2, 5), (20, 21), (1, 2), (20, 40)]):
+        for i in range(40):
+            name = draw.choice(["/a", "/b", None, f"/only{batch}"])
+            at = start + timedelta(days=draw.randint(*span), hours=draw.choice([0, 1, 23]), seconds=draw.choice([0, 0, 30]))
+            data.append((batch, at, name, draw.choice([200, 500])))
+        if batch in (0, 4):
+            data.append((batch, start + timedelta(days=60 * batch), "/silent", 500))
+    schema = f"batch int, event_timestamp timestamp_ntz, {key} string, status_code int"
+    rows = spark.createDataFrame(data, schema)
+    for batch in range(5):
+        rows.where(F.col("batch") == batch).drop("batch").coalesce(1).write.parquet(str(tmp_path / "in"), mode="append")
+    built: dict = {}
+
+    def refresh(recent, valid_from):
+        since = {r[key]: r["valid_from"] for r in valid_from.collect()}
+        fresh = streams.valid_rows(build(recent), valid_from, key).collect()
+        for name, at in since.items():
+            built[name] = [r for r in built.get(name, []) if r["event_timestamp"] < at]
+        for r in fresh:
+            built[r[key]].append(r)
+
+    stream = spark.readStream.schema(rows.drop("batch").schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    query = streams.refresh_on_batch(stream, str(tmp_path / "store"), str(tmp_path / "ck"), refresh, key)
     query.awaitTermination(180)
-    assert spark.read.parquet(str(tmp_path / "store")).count() == requests.count()
-    whole = {(r["event_timestamp"], r["api_path"]): tuple(r) for r in errors_rolling(requests).collect()}
-    assert seen == whole
+    assert query.exception() is None and spark.read.parquet(str(tmp_path / "store")).count() == len(data)
+    whole = build(rows.drop("batch"))
+    assert sorted(map(repr, (tuple(r) for part in built.values() for r in part))) == sorted(repr(tuple(r)) for r in whole.collect())
+
+
+def test_a_refresh_reads_the_days_it_needs(spark, tmp_path):
+    """A key's old days, and other keys' days, stay unread; a repeated batch adds nothing."""
+    at = [datetime(2024, 1, day) for day in range(1, 11)]
+    rows = spark.createDataFrame([(day, "/a", 200) for day in at] + [(at[0], "/b", 200)], "event_timestamp timestamp_ntz, api_path string, status_code int")
+    days = rows.select(F.col("api_path").alias("_key"), F.to_date("event_timestamp").alias("event_date"))
+    stored = rows.withColumn("event_date", F.to_date("event_timestamp"))
+    new = stored.where("event_date = date'2024-01-10'")
+    got, valid = streams._affected(stored, days, new, "api_path")
+    assert sorted(r["event_timestamp"].day for r in got.collect()) == [7, 8, 9, 10]
+    assert [tuple(r) for r in valid.collect()] == [("/a", datetime(2024, 1, 9))]
+    assert streams._affected(stored, days, new.limit(0), "api_path") == (None, None)

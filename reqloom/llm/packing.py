@@ -14,6 +14,8 @@ import zlib
 from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import public_tokenizers
@@ -29,6 +31,8 @@ WINDOW = 2048
 END = 1
 GROUP = 16_384
 TOKENIZER = "byte_bpe_50k.json"
+#: Cuts of texts, and runs of the pattern, that a process keeps encoded.
+KEPT = 60_000
 
 _WIDE = re.compile(r"\s\s")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
@@ -47,7 +51,7 @@ class Encoder:
     pattern, and each of its runs goes to the file's BPE model once; all others go through the whole tokenizer.
     """
 
-    def __init__(self, path: str, most: int = 400_000) -> None:
+    def __init__(self, path: str, most: int = KEPT) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -93,7 +97,8 @@ class Encoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         for kept in (self.known, self.runs):
             if len(kept) > self.most:
-                kept.clear()
+                for oldest in list(islice(kept, len(kept) // 2)):
+                    del kept[oldest]
         cut = [self.cuts(text) for text in texts]
         first = self._whole([pieces.pop(0) for pieces in cut])
         self.learn(set().union(*cut).difference(self.known))
@@ -101,6 +106,12 @@ class Encoder:
         return [ids + b"".join(map(get, pieces)) for ids, pieces in zip(first, cut)]
 
 
+@lru_cache(maxsize=1)
+def encoder_of(path: str) -> Encoder:
+    """The process' encoder: its tables and the cuts it keeps, bounded in number, outlive a task."""
+    return Encoder(path)
+
+
 def closest(counts: dict[int, int], capacity: int) -> dict[int, int]:
     """How many of each length fill `capacity` closest from below: subset-sum over the counts, longest first."""
     mask, reach, layers = (2 << capacity) - 1, 1, []
@@ -170,7 +181,7 @@ def pack(
     names = ["start", "length", "ids_crc32", "doc_tokens"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(path), np.array([END], dtype="<u4").tobytes()
+        encoder, end = encoder_of(path), np.array([END], dtype="<u4").tobytes()
         for block in blocks(batches, "_text", 2 << 20):
             rows, values, ids = [], [], []
             for at, found in enumerate(encoder.encode([text or "" for text in block.column("_text").to_pylist()])):

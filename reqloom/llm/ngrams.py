@@ -29,7 +29,7 @@ def shape(word: bytes) -> bytes:
 class ShapedWords(Words):
     """Words that also know the number of their shape, up to `most` of them; a full table starts anew at a new block."""
 
-    def __init__(self, most: int = 400_000) -> None:
+    def __init__(self, most: int = 100_000) -> None:
         super().__init__()
         self.most = most
         self.renew()

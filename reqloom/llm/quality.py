@@ -24,6 +24,8 @@ from reqloom.llm.shared import blocks, sums_by_text
 MAX_LABELLED = 12_000
 SHARDS = 6
 THRESHOLD = 0.3
+#: Bytes of text that a task works on at once.
+BLOCK = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -82,7 +84,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings(), m
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = ShapedWords()
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", BLOCK):
             kinds, edges = features(block, "text", words, settings.bits)
             out = []
             for i in range(block.num_rows):
@@ -132,7 +134,7 @@ def score(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = ShapedWords()
-        for block in blocks(batches, "_text"):
+        for block in blocks(batches, "_text", BLOCK):
             kinds, edges = features(block, "_text", words, settings.bits)
             total = sum(sums_by_text(table[grams].astype(float), bounds) for grams, bounds in zip(kinds, edges))
             count = np.maximum(sum(np.diff(bounds) for bounds in edges), 1)

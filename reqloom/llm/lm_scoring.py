@@ -29,7 +29,7 @@ from reqloom.operators.staging import stage
 DEPTH = 5
 SPACE = 0x20
 #: Bytes of text in a block, and in the part of a block that is worked on at once.
-BLOCK, PART = 32 << 20, 4 << 20
+BLOCK, PART = 32 << 20, 1 << 20
 HALF = np.log(0.5)
 
 
@@ -177,15 +177,19 @@ class Block:
 
     def gram_counts(self, depth: int) -> tuple[np.ndarray, np.ndarray]:
         """The block's distinct grams, ascending, and their counts in training documents."""
-        keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keys, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for start, end, coded in self.parts():
             grams, bounds = grams_of(coded, depth)
             train = np.repeat(self.train[start:end], np.diff(bounds))
-            some = [np.unique(grams[train], return_counts=True), (np.unique(grams[~train]), None)]
-            keys = np.concatenate([keys, some[0][0], some[1][0]])
-            counts = np.concatenate([counts, some[0][1], np.zeros(len(some[1][0]), np.int64)])
-            order = np.argsort(keys, kind="stable")
-            keys, counts = raised(keys[order], counts[order])
+            seen, times = np.unique(grams[train], return_counts=True)
+            unseen = np.unique(grams[~train])
+            keys += [seen, unseen]
+            counts += [times, np.zeros(len(unseen), np.int64)]
+            if len(keys) > 16 or end == len(self.train):
+                joined = np.concatenate(keys)
+                order = np.argsort(joined, kind="stable")
+                keys, counts = ([merged] for merged in raised(joined[order], np.concatenate(counts)[order]))
+        (keys,), (counts,) = keys, counts
         return keys, counts
 
 

@@ -28,8 +28,11 @@ FAN = 16
 #: The sample of vectors that serve as pivots, and the queries in a block.
 PIVOTS = 64
 QUERIES = 1024
+SPREAD = 16
 #: Distances are floats: bounds are loosened by this much, so that rounding hides nothing.
 SLACK = 1e-6
+#: Products below this are exact; no product of two vectors is larger than the largest squared length.
+EXACT = 2.0**53
 
 
 def whole_vectors(vectors: DataFrame, id_column: str = "vec_id", column: str = "embedding") -> DataFrame:
@@ -135,14 +138,18 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_column: str = "vec_id", c
 
     `is_query` is a condition on `vec_id`. Ties go to the smaller id; a query with fewer candidates returns all. Vectors
     null, or holding a null or a non-finite component, and rows without id take no part. Rows that repeat an id are
-    candidates each, but never for a query of that id. Vectors need one length. An empty table gives an empty one.
+    candidates each, but never for a query of that id; as queries, all their products are ranked together. Vectors need one
+    length, and a squared length below 2^53, or the search raises. An empty table gives an empty one.
 
     Queries are packed into blocks of at most QUERIES and meet every page of at most about PAGE vectors; a page that its
     covering radius rules out costs one distance. Only the pivots, at most PIVOTS vectors, are in every task.
     """
     rows = stage(whole_vectors(vectors, id_column, column))
-    squares = F.aggregate("v", F.lit(0).cast("long"), lambda total, c: total + c * c)
-    total, longest = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(squares), F.lit(0))).first()
+    squares = F.aggregate("v", F.lit(0.0), lambda total, c: total + c.cast("double") * c.cast("double"))
+    total, longest = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(squares), F.lit(0.0))).first()
+    if longest >= EXACT:
+        raise ValueError("products of these vectors reach 2^53, where they are no longer exact")
+    longest = int(longest)
     wanted = max(1, min(PIVOTS, total // PAGE))
     sample = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(wanted).collect()
     pivots = np.array([row.v for row in sample], dtype=np.int64) if sample else np.zeros((1, 1), np.int64)
@@ -176,11 +183,13 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_column: str = "vec_id", c
     queries = rows.where(is_query)
     n_blocks = max(1, -(-queries.count() // QUERIES))
     packed = queries.groupBy(F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(n_blocks)).alias("block")).agg(F.collect_list(F.struct("vec_id", "v")).alias("queries"))
-    meeting = pages.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long")))).repartition("block", F.xxhash64("ids"))
-    met = meeting.join(packed, "block")
+    meeting = pages.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_blocks - 1).cast("long"))))
+    # the pages that meet a block are dealt to SPREAD tasks
+    turns = F.explode(F.array(*[F.lit(turn) for turn in range(SPREAD)]))
+    met = meeting.withColumn("turn", F.pmod(F.xxhash64("ids"), F.lit(SPREAD)).cast("int")).join(packed.withColumn("turn", turns), ["block", "turn"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reached: dict[int, list] = {}  # the best scores that this task has met, by query: k rows reach the last of them
+        reached: dict[tuple, list] = {}  # the best scores that this task has met, by query row: k rows reach the last of them
         for batch in batches:
             for row in batch.to_pylist():
                 ids = np.frombuffer(row["ids"], np.int64)
@@ -189,17 +198,19 @@ def top_k(vectors: DataFrame, is_query, k: int = K, id_column: str = "vec_id", c
                 nodes = np.frombuffer(row["nodes"]).reshape(-1, 6)
                 tree = (*[nodes[:, i].astype(np.int64) if i in (0, 3, 4) else nodes[:, i] for i in range(6)], np.frombuffer(row["parents"]))
                 found = []
-                asked = sorted({q["vec_id"]: q["v"] for q in row["queries"]}.items())
+                asked = sorted((q["vec_id"], q["v"]) for q in row["queries"])
                 wanted = np.array([v for _, v in asked], dtype=float)
                 at_pivots = wanted @ pivots.T.astype(float)
-                for i, (own, _) in enumerate(asked):
-                    if own not in reached:
+                for i, (own, v_own) in enumerate(asked):
+                    query = (own, tuple(v_own))
+                    if query not in reached:
                         others = at_pivots[i][pivot_ids != own] if len(pivot_ids) else np.zeros(0)
-                        reached[own] = [[], np.sort(others)[-k] if len(others) >= k else None]
-                    scores, start = reached[own]
+                        reached[query] = [[], np.sort(others)[-k] if len(others) >= k else None]
+                    scores, start = reached[query]
                     floor = max(scores[-1], start) if len(scores) == k and start is not None else scores[-1] if len(scores) == k else start
                     more = search(wanted[i], own, ids, v, points, tree, k, floor)
-                    reached[own][0] = sorted([*scores, *[score for score, _ in more]], reverse=True)[:k]
+                    if (own, v_own) != asked[i - 1] or not i:  # a repeated row meets the same page again
+                        reached[query][0] = sorted([*scores, *[score for score, _ in more]], reverse=True)[:k]
                     found += [(own, vec, score) for score, vec in more]
                 columns = np.array(found, dtype=np.int64).reshape(-1, 3)
                 yield pa.RecordBatch.from_arrays([pa.array(columns[:, i]) for i in range(3)], names=["query_id", "vec_id", "score"])

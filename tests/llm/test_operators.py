@@ -387,15 +387,32 @@ def test_top_k(spark):
     for r in top_k.top_k(table, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
         found.setdefault(r.query_id, []).append((r.score, r.vec_id))
     good = [(i, [math.floor(256 * x) for x in v]) for i, v in rows if i is not None and i not in (700, 701, 702)]
-    for query, v in good:
-        if query % 50 == 0:
-            scores = sorted(((sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != query), key=lambda s: (-s[0], s[1]))[:5]
-            assert found[query] == scores
+    for query in {i for i, _ in good if i % 50 == 0}:
+        # rows that repeat a query's id are ranked together
+        asked = [v for i, v in good if i == query]
+        scores = sorted(((sum(a * b for a, b in zip(v, w)), i) for v in asked for i, w in good if i != query), key=lambda s: (-s[0], s[1]))
+        assert found[query] == scores[:5]
     assert top_k.top_k(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
     few = spark.createDataFrame(rows[:3], "vec_id long, embedding array<double>")
     assert top_k.top_k(few, F.col("vec_id") % 50 == 0).count() == 2
 
 
+def test_top_k_of_repeated_queries_and_large_products(spark):
+    """Rows of one query id are ranked together, as SQL does; products that floats cannot hold are refused."""
+    schema = "vec_id long, embedding array<double>, rank int, block long"
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [3.0, 1.0]), (2, [1.0, 4.0]), (50, [5.0, 5.0])]
+    table = spark.createDataFrame([(*row, 7, 8) for row in rows], schema)
+    got: dict = {}
+    for r in top_k.top_k(table, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.score, r.vec_id))
+    for query in (0, 50):
+        pairs = [(v, w, i) for q, v in rows if q == query for i, w in rows if i != query]
+        want = sorted(((sum(int(256 * a) * int(256 * b) for a, b in zip(v, w)), i) for v, w, i in pairs), key=lambda s: (-s[0], s[1]))
+        assert got[query] == want[:5]
+    with pytest.raises(ValueError):
+        top_k.top_k(spark.createDataFrame([(0, [4e5, 1.0], 1, 1)], schema), F.col("vec_id") % 50 == 0)
+
+
 def test_tree_keeps_its_bounds():
     points = np.random.default_rng(2).normal(size=(1500, 4))
     points[300:900] = points[0]

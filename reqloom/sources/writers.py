@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from reqloom.sources import versions
+
 EXPORT_FORMATS = ("json", "csv", "parquet")
 
 
@@ -42,9 +44,8 @@ def write_requests(requests: DataFrame, target: str, location: str, gather_days:
 
 
 def replace_table(df: DataFrame, path: str) -> DataFrame:
-    """Replaces a stored table and returns it."""
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replaces a stored table and returns it; readers see the old rows until all new ones are there, see `versions`."""
+    return versions.replace(df, path)
 
 
 def define_view(df: DataFrame, name: str) -> None:

@@ -45,23 +45,31 @@ def completeness(columns: Sequence[str]) -> Column:
 
 
 def repeated_values(df: DataFrame) -> Column:
-    """Values of a row's scalar fields that an earlier field of the row already holds, as text.
+    """Values of a row's scalar fields that an earlier field of the row already holds, as text, in the fields' order.
 
-    Numbers and booleans compare by number whatever their type, texts with texts, times with times, null with null.
+    Numbers and booleans compare by number whatever their type, texts with texts, times with times, null with null. The
+    fields are sorted once by kind, value and place, and each is compared with the one before it, so the work and the plan
+    grow with the number of fields and not with that of their pairs.
     """
-    repeats = [F.when(condition, value) for condition, value in _repeats(df)]
-    return F.array_compact(F.array(*repeats)) if repeats else F.array().cast("array<string>")
+    fields = _scalars(df)
+    if len(fields) < 2:
+        return F.array().cast("array<string>")
+    tagged = [F.struct(_canonical(f).alias("key"), F.lit(i).alias("place"), _as_text(f).alias("text")) for i, f in enumerate(fields)]
+    ordered = F.array_sort(F.array(*tagged))
+    shifted = F.concat(F.array(F.lit(None).cast("struct<key:string,place:int,text:string>")), F.slice(ordered, 1, len(fields) - 1))
+    again = F.zip_with(ordered, shifted, lambda one, before: F.when(one["key"] == before["key"], F.struct(one["place"], one["text"])))
+    return F.transform(F.array_sort(F.array_compact(again)), lambda one: one["text"])
 
 
-def _repeats(df: DataFrame) -> list[tuple[Column, Column]]:
-    """Per scalar field: whether an earlier field holds its value, and the value as text."""
-    scalars = [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
-    found = []
-    for i, later in enumerate(scalars):
-        same = [_same(earlier, later) for earlier in scalars[:i]]
-        if same:
-            found.append((reduce(lambda a, b: a | b, same), _as_text(later)))
-    return found
+def _has_repeats(df: DataFrame) -> Column | None:
+    fields = _scalars(df)
+    if len(fields) < 2:
+        return None
+    return F.size(F.array_distinct(F.array(*[_canonical(f) for f in fields]))) < len(fields)
+
+
+def _scalars(df: DataFrame) -> list[T.StructField]:
+    return [f for f in df.schema.fields if not isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType))]
 
 
 def _family(field: T.StructField) -> str:
@@ -70,28 +78,25 @@ def _family(field: T.StructField) -> str:
     return "text" if isinstance(field.dataType, T.StringType) else field.dataType.typeName()
 
 
-def _same(left: T.StructField, right: T.StructField) -> Column:
-    a, b = F.col(left.name), F.col(right.name)
-    both_null = a.isNull() & b.isNull()
-    if _family(left) != _family(right):
-        return both_null
-    if _family(left) == "number":
-        whole = all(isinstance(f.dataType, (T.BooleanType, T.IntegralType)) for f in (left, right))
-        a, b = (c.cast("bigint" if whole else "double") for c in (a, b))
-        equal = a == b if whole else (a == b) & ~F.isnan(a)
-    else:
-        equal = a == b
-    return both_null | F.coalesce(equal, F.lit(False))
+def _canonical(field: T.StructField) -> Column:
+    """Kind and value as one text, equal for equal values only; NaN equals nothing, so it takes the field's name."""
+    column, kind = F.col(f"`{field.name}`"), _family(field)
+    value = _as_text(field)
+    if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+        value = F.when(F.isnan(column.cast("double")), F.lit(f"NaN of {field.name}")).otherwise(value)
+    return F.when(column.isNull(), F.lit("null")).otherwise(F.concat(F.lit(f"{kind}:"), value))
 
 
 def _as_text(field: T.StructField) -> Column:
-    column = F.col(field.name)
+    column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, T.BooleanType):
         text_value = column.cast("int").cast("string")
     elif isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
         value = column.cast("double")
         whole = (value == F.floor(value)) & (F.abs(value) < F.lit(9.0e18))
         text_value = F.when(whole, F.floor(value).cast("string")).otherwise(value.cast("string"))
+    elif isinstance(field.dataType, T.BinaryType):
+        text_value = F.hex(column)
     else:
         text_value = column.cast("string")
     return F.coalesce(text_value, F.lit("null"))
@@ -177,11 +182,10 @@ def row_rules(rows: DataFrame) -> list[Rule]:
     if has_counts:
         details = {"computed": computed, "reported": rate}
         rules.append(Rule("metric_consistency", apart, details=details))
-    repeats = [condition for condition, _ in _repeats(rows)]
-    if repeats:
+    repeats = _has_repeats(rows)
+    if repeats is not None:
         details = {"values": F.array_join(repeated_values(rows), ", ")}
-        any_repeat = reduce(lambda a, b: a | b, repeats)
-        rules.append(Rule("duplicates", any_repeat, details=details))
+        rules.append(Rule("duplicates", repeats, details=details))
     return rules
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from itertools import combinations
 
 import pytest
@@ -91,6 +92,32 @@ def test_repeated_values_across_types(spark):
     assert found == [["1", "1", "x"], ["1"]]
 
 
+def test_repeated_values_of_wide_rows(spark):
+    """Three hundred fields of four kinds against a walk over each row; the plan holds no comparison of pairs."""
+    draw = random.Random(12)
+    kinds = ["int", "double", "string", "boolean"]
+    values = {"int": lambda: draw.randint(0, 400), "double": lambda: draw.choice([draw.randint(0, 400) / 2, float("nan")]),
+              "string": lambda: str(draw.randint(0, 300)), "boolean": lambda: draw.random() < 0.5}
+    schema = ", ".join(f"c{i} {kinds[i % 4]}" for i in range(300))
+    data = [tuple(None if draw.random() < 0.01 else values[kinds[i % 4]]() for i in range(300)) for _ in range(20)]
+    frame = spark.createDataFrame(data, schema)
+
+    def walked(row):
+        seen, out = set(), []
+        for value in row:
+            kind = "text" if isinstance(value, str) else "null" if value is None else "number"
+            if value == value and (kind, value) in seen:
+                whole = kind == "number" and float(value).is_integer()
+                out.append("null" if value is None else str(int(value)) if whole else str(value))
+            seen.add((kind, value))
+        return out
+
+    assert [r[0] for r in frame.select(C.repeated_values(frame)).collect()] == [walked(row) for row in data]
+    assert C.issue_counts(frame).where("rule = 'duplicates'").first()["n_rows"] == 20
+    single = spark.createDataFrame([(1,)], "only int")
+    assert single.select(C.repeated_values(single)).first()[0] == []
+
+
 def test_counts_gate_and_strict(spark):
     bad = tuple({3: -5.0}.get(i, v) for i, v in enumerate(VALID))
     df = spark.createDataFrame([VALID] * 9 + [bad], MONITORING)

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 
+from reqloom.plans.built import BUILT
+
 # k: number in props; h: md5 of the trace as a 128-bit integer
 _EVENTS = """
 e AS (
@@ -95,17 +97,20 @@ def _squash(text: str) -> str:
 _RAW_TRACE = "CASE WHEN k <> 99 THEN trace ELSE 'default-trace' END"
 
 
-def _normalize_flat(stand_ins: bool) -> str:
+def _normalize_flat(stand_ins: bool, nested: bool = True) -> str:
+    """`nested` says whether the records have the nested request, which CSV lacks."""
+    http = "k % 2 = 1" if nested else "false"
+
     def known(value: str, stand_in: str) -> str:
         return f"coalesce({value}, {stand_in})" if stand_ins else value
 
-    status = """CASE WHEN k % 6 = 3 THEN 404 WHEN k % 6 > 3 THEN 200 WHEN k % 2 = 1 AND k % 8 = 1 THEN 503 END"""
+    status = f"""CASE WHEN k % 6 = 3 THEN 404 WHEN k % 6 > 3 THEN 200 WHEN {http} AND k % 8 = 1 THEN 503 END"""
     latency = """CASE WHEN k % 4 IN (2, 3) THEN CAST(round(value * 10) AS BIGINT) END"""
     # a zero latency falls through to the nested 250.7, and that to a stand-in; 0.9 is cut to 0 but is not zero
     latency = f"""CASE WHEN k % 4 = 2 THEN CAST(round(value * 10) AS BIGINT)
       WHEN k % 4 = 3 AND round(value * 10) <> 0 THEN CAST(round(value * 10) AS BIGINT)
-      WHEN k % 2 = 1 AND k % 8 < 4 THEN 250 END"""
-    address = "CASE WHEN k % 3 = 2 THEN '192.168.0.' || k WHEN k % 2 = 1 AND k % 8 = 5 THEN '1.2.3.4' END"
+      WHEN {http} AND k % 8 < 4 THEN 250 END"""
+    address = f"CASE WHEN k % 3 = 2 THEN '192.168.0.' || k WHEN {http} AND k % 8 = 5 THEN '1.2.3.4' END"
     return f"""
 WITH {_EVENTS},
 t AS (SELECT *, {_RAW_TRACE} AS raw_trace, md5({_RAW_TRACE}) AS d FROM hashed),
@@ -350,6 +355,30 @@ SELECT 'iqr', false, CAST(3 AS BIGINT),
   round(1 - avg(CAST(invalid OR {" OR ".join(f"o_{c}" for c in (*_REPORT_COLUMNS, "high"))} AS INTEGER)), 6)
 FROM q"""
 
+_TOP_ERRORS = f"""WITH daily AS (
+          SELECT day, api_path, {_TOTAL}, {_5XX} AS total_5xx, {_5XX} / count(*) AS r
+          FROM requests GROUP BY day, api_path
+        ),
+        ranked AS (
+          SELECT *, rank() OVER (PARTITION BY day ORDER BY total_5xx DESC) AS rank_by_5xx,
+            row_number() OVER (PARTITION BY day ORDER BY r DESC, api_path) AS rownum_by_rate
+          FROM daily
+        )
+        SELECT day, api_path, total_requests, total_5xx, round(r, 6) AS rate_5xx, rank_by_5xx, rownum_by_rate
+        FROM ranked WHERE rank_by_5xx <= 20 OR rownum_by_rate <= 20"""
+
+_TOP_PER_CODE = f"""WITH daily AS (
+          SELECT day, status_code, api_path, {_TOTAL} FROM requests WHERE status_code >= 400
+          GROUP BY day, status_code, api_path
+        ),
+        ranked AS (
+          SELECT *, row_number() OVER (PARTITION BY day, status_code ORDER BY total_requests DESC, api_path)
+              AS rownum_by_volume,
+            rank() OVER (PARTITION BY day, status_code ORDER BY total_requests DESC) AS rank_by_volume
+          FROM daily
+        )
+        SELECT * FROM ranked WHERE rownum_by_volume <= 20"""
+
 ORACLE: dict[str, str] = {
     "normalize_flat": _normalize_flat(True),
     "normalize_flat_without_stand_ins": _normalize_flat(False),
@@ -436,20 +465,7 @@ SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|
           CAST(x24 AS BIGINT) AS rolling_5xx_24h, n24 AS rolling_total_24h, round(r24, 6) AS rolling_rate_5xx_24h
         FROM rates"""
     ),
-    "top_error_endpoints_daily": _sql(
-        f"""WITH daily AS (
-          SELECT day, api_path, {_TOTAL}, {_5XX} AS total_5xx, {_5XX} / count(*) AS r
-          FROM requests GROUP BY day, api_path
-        ),
-        ranked AS (
-          SELECT *, rank() OVER (PARTITION BY day ORDER BY total_5xx DESC) AS rank_by_5xx,
-            row_number() OVER (PARTITION BY day ORDER BY r DESC, api_path) AS rownum_by_rate
-          FROM daily
-        )
-        SELECT day, api_path, total_requests, total_5xx, round(r, 6) AS rate_5xx, rank_by_5xx, rownum_by_rate
-        FROM ranked WHERE rank_by_5xx <= 20 OR rownum_by_rate <= 20""",
-        fine=True,
-    ),
+    "top_error_endpoints_daily": _sql(_TOP_ERRORS, fine=True),
     "sla_kpis": _sql(
         f"""SELECT api_path, {_SLA}, quantile_disc(latency_ms, 0.99) AS p99_latency_ms FROM requests GROUP BY api_path"""
     ),
@@ -482,20 +498,7 @@ SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|
         round(count(*) / sum(count(*)) OVER (PARTITION BY day, api_path), 6) AS pct_within_day_endpoint
         FROM requests GROUP BY day, api_path, status_family"""
     ),
-    "top_endpoints_per_error_code": _sql(
-        f"""WITH daily AS (
-          SELECT day, status_code, api_path, {_TOTAL} FROM requests WHERE status_code >= 400
-          GROUP BY day, status_code, api_path
-        ),
-        ranked AS (
-          SELECT *, row_number() OVER (PARTITION BY day, status_code ORDER BY total_requests DESC, api_path)
-              AS rownum_by_volume,
-            rank() OVER (PARTITION BY day, status_code ORDER BY total_requests DESC) AS rank_by_volume
-          FROM daily
-        )
-        SELECT * FROM ranked WHERE rownum_by_volume <= 20""",
-        fine=True,
-    ),
+    "top_endpoints_per_error_code": _sql(_TOP_PER_CODE, fine=True),
     "user_kpis": _sql(
         f"""SELECT user_uid, count(*) FILTER (status_code = 401) AS total_401,
         count(*) FILTER (status_code = 403) AS total_403, {_ERRORS}, round(avg(latency_ms), 6) AS avg_latency_ms
@@ -733,10 +736,7 @@ SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|
             AS severity
         FROM c"""
     ),
-    "source_csv": _events(
-        """SELECT CASE WHEN k <> 99 THEN trace END AS trace, CASE WHEN k % 3 <> 0 THEN 'service-' || (k % 4) END AS service,
-        CASE WHEN k % 9 <> 0 THEN CAST(k * 10 AS BIGINT) END AS payload_size FROM e"""
-    ),
+    "source_csv": _normalize_flat(True, nested=False),
     "append_twice": _sql(
         "SELECT day AS event_date, api_path, 2 * count(*) AS total_requests FROM requests GROUP BY day, api_path"
     ),
@@ -752,9 +752,16 @@ _SAME = {
     "export_json": "status_code_kpis",
     "export_csv": "status_code_kpis",
     "export_parquet": "status_code_kpis",
-    "build_metrics_warehouse": "errors_hourly",
-    "build_metrics_local": "local_errors_hourly",
 }
 ORACLE |= {name: ORACLE[plain] for name, plain in _SAME.items()}
+# These two are registered over more paths than the stored tables have.
+_STORED = ORACLE | {"top_error_endpoints_daily": _sql(_TOP_ERRORS), "top_endpoints_per_error_code": _sql(_TOP_PER_CODE)}
+ORACLE |= {
+    f"build_metrics_{target}": " UNION ALL ".join(
+        f"SELECT '{name}' AS table_name, count(*) AS n_rows, round(sum(CAST({measure} AS DOUBLE)), 3) AS total FROM ({_STORED[plain]})"
+        for name, (plain, measure) in tables.items()
+    )
+    for target, tables in BUILT.items()
+}
 
 ORACLE = {name: re.sub(r"[ \t]+\n", "\n", sql).strip() for name, sql in ORACLE.items()}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,6 +30,7 @@ from reqloom.operators import (
 from reqloom.operators.normalize import normalize_flat, normalize_log_entries
 from reqloom.operators.staging import new_path
 from reqloom.plans import inputs, pipeline
+from reqloom.plans.built import BUILT
 from reqloom.sources import readers, writers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -294,10 +296,12 @@ def source_parquet(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def source_csv(spark: SparkSession, folder: str) -> DataFrame:
-    path = new_path(spark)
-    writers.write_csv(inputs.raw_flat(spark, folder).select("trace", "service", "payload_size"), path)
-    read = readers.read_logs(spark, "csv", path)
-    return read.select("trace", "service", F.col("payload_size").cast("bigint").alias("payload_size"))
+    """All columns of flat records, in files of two headers: one has them in another order."""
+    path, raw = new_path(spark), inputs.raw_flat(spark, folder).drop("httpRequest")
+    first = F.coalesce(F.col("trace"), F.lit("")).endswith("1")
+    writers.write_csv(raw.where(first), f"{path}/a")
+    writers.write_csv(raw.where(~first).select(*reversed(raw.columns)), f"{path}/b")
+    return rounded(normalize_flat(readers.read_logs(spark, "csv", f"{path}/*"), INGEST))
 
 
 def source_log_entries(spark: SparkSession, folder: str) -> DataFrame:
@@ -329,13 +333,19 @@ def _exported(fmt: str) -> Query:
     return query
 
 
-def _built(target: str, name: str) -> Query:
-    """The table as stored once both targets are built under one folder."""
+def _built(target: str) -> Query:
+    """Rows and a sum of every table as stored, once both targets are built under one folder."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         out, requests = new_path(spark), inputs.requests(spark, folder)
-        tables = {t: pipeline.build_metrics(requests, out, t, only=[name]) for t in pipeline.TARGETS}
-        return rounded(tables[target][name])
+        tables = {t: pipeline.build_metrics(requests, out, t) for t in pipeline.TARGETS}[target]
+        sums = [
+            rounded(tables[name]).agg(
+                F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("n_rows"), F.round(F.sum(F.col(measure).cast("double")), 3).alias("total")
+            )
+            for name, (_, measure) in BUILT[target].items()
+        ]
+        return reduce(DataFrame.unionByName, sums)
 
     return query
 
@@ -441,6 +451,6 @@ QUERIES: dict[str, Query] = {
     "export_json": _exported("json"),
     "export_csv": _exported("csv"),
     "export_parquet": _exported("parquet"),
-    "build_metrics_warehouse": _built("warehouse", "dashboard_errors_hourly"),
-    "build_metrics_local": _built("local", "dashboard_errors_hourly"),
+    "build_metrics_warehouse": _built("warehouse"),
+    "build_metrics_local": _built("local"),
 }

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import csv
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,11 +27,49 @@ def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = RAW_FLAT)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CSV) -> DataFrame:
-    """CSV with a header row; columns may be a part of the schema. Files whose header differs from the first one fail."""
-    header = spark.read.option("header", True).csv(path).columns
+    """CSV files with a header row each, matched by name: columns may come in any order, and be a part of the schema.
+
+    Files are grouped by their header and each group is one scan; a column that a group lacks is null there, one that the
+    schema lacks is text. A repeated name in a header fails, as does any malformed record.
+    """
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for name, header in _headers(spark, path):
+        if header:
+            groups.setdefault(header, []).append(name)
     kinds = {field.name: field.dataType for field in schema.fields}
-    present = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in header])
-    return spark.read.schema(present).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST").csv(path)
+    union = None
+    for header, names in sorted(groups.items()):
+        if len(set(header)) < len(header):
+            raise SourceError(f"a column is named twice in {names[0]}")
+        present = T.StructType([T.StructField(name, kinds.get(name, T.StringType())) for name in header])
+        reader = spark.read.schema(present).option("header", True).option("enforceSchema", False).option("mode", "FAILFAST")
+        rows = reader.csv(names)
+        union = rows if union is None else union.unionByName(rows, allowMissingColumns=True)
+    if union is None:
+        return spark.createDataFrame([], schema)
+    known = [name for name in kinds if name in union.columns]
+    return union.select(*[F.col(f"`{name}`") for name in [*known, *(n for n in union.columns if n not in kinds)]])
+
+
+def _headers(spark: SparkSession, path: str) -> list[tuple[str, tuple[str, ...]]]:
+    """Each file below the path and its column names; an empty file has none. A file's first line is all that is read."""
+    names = [row["path"] for row in spark.read.format("binaryFile").load(path).select("path").collect()]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf)
+
+    def first_line(name: str) -> str | None:
+        at = jvm.org.apache.hadoop.fs.Path(name)
+        stream = at.getFileSystem(conf).open(at)
+        codec = codecs.getCodec(at)
+        lines = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(codec.createInputStream(stream) if codec else stream, "UTF-8"))
+        try:
+            return lines.readLine()
+        finally:
+            lines.close()
+
+    with ThreadPoolExecutor(16) as pool:
+        found = list(pool.map(first_line, names))
+    return [(name, tuple(next(csv.reader([line.removeprefix("\ufeff")]))) if line else ()) for name, line in zip(names, found)]
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gzip
 import json
 import random
 from datetime import datetime, timedelta
@@ -50,6 +51,26 @@ def test_csv_source(spark, tmp_path):
     assert rows_of(out.select("trace", "status_code", "latency_ms")) == [(12, 404, "t1"), (None, None, "t2")]
 
 
+def test_csv_files_of_several_headers(spark, tmp_path):
+    folder = tmp_path / "csv"
+    folder.mkdir()
+    write(folder / "a.csv", "trace,status_code,latency_ms\nt1,404,12\nt2,200,13\n")
+    write(folder / "b.csv", 'latency_ms,"trace",extra\n14,"t3, quoted",x\n')
+    write(folder / "c.csv", "")
+    (folder / "d.csv.gz").write_bytes(gzip.compress(b"status_code,trace\n500,t4\n"))
+    got = readers.read_csv(spark, str(folder))
+    assert got.columns == ["trace", "status_code", "latency_ms", "extra"]
+    want = [("t1", "404", "12", None), ("t2", "200", "13", None), ("t3, quoted", None, "14", "x"), ("t4", "500", None, None)]
+    assert sorted(tuple(row) for row in got.collect()) == want
+    assert readers.read_csv(spark, str(folder / "c.csv")).count() == 0
+    write(folder / "e.csv", "trace,trace\n1,2\n")
+    with pytest.raises(readers.SourceError):
+        readers.read_csv(spark, str(folder))
+    write(folder / "e.csv", "trace,status_code\nonly one\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST"):
+        readers.read_csv(spark, str(folder)).collect()
+
+
 def test_source_dispatch(spark, tmp_path):
     entries = [{"timestamp": f"2026-02-17T10:00:0{i}", "severity": "ERROR" if i % 2 else "INFO", "trace": f"t{i}"} for i in range(6)]
     path = write(tmp_path / "e.jsonl", "\n".join(json.dumps(e) for e in entries))

@@ -1,15 +1,16 @@
 """Personal data: broad generators propose spans, boosted trees judge them, calibrated thresholds pick redactions.
 
 Base spans follow fixed patterns and checks and are always kept. Generators propose further, overlapping spans per kind:
-looser separators, missing prefixes, spelled-out signs. Proposals that meet a base span of their kind are the positive
-examples, the others the negative ones; trees learn from format and context, not from the checks themselves. Per kind, a
-part of the labelled proposals that the trees did not learn from sets the least score at which the wanted precision holds;
+looser separators, missing prefixes, spelled-out signs. Proposals that meet a base span of their kind, or are evident in
+another way (see `evident`), are the positive examples, the others the negative ones; trees learn from format and context.
+Per kind, all proposals of a part that the trees did not learn from set the least score at which the wanted precision holds;
 proposals beside the base spans at or above it are added. Texts stay in their tasks, only proposals move.
 """
 
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,14 +33,18 @@ IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-_BREAK = re.compile(r"[\x20\x09-\x0D]")
+#: The same matches without trying anew inside a run of digits: a match begins at a run's start and takes whole runs.
+_IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
+_HOST = re.compile(r"[A-Za-z0-9-]++(\.[A-Za-z0-9-]++)++")
+_LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
+
 _WIDE = (
     re.compile(r"[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])\x20?[A-Za-z0-9-]{1,63}(?:\x20?(?:\.|\(dot\)|\[dot\])\x20?[A-Za-z0-9-]{1,63})+"),
     re.compile(r"[0-9]{1,4}(?:[.,:][0-9]{1,4}){3}"),
     re.compile(r"[0-9](?:[\x20./-]?[0-9]){11,18}"),
     re.compile(r"(?:\+|00|\()?[0-9](?:[\x20().-]{0,2}[0-9]){6,14}"),
 )
-_MARK = re.compile(r"@|\(at\)|\[at\]")
+_MARK, _DOT = re.compile(r"@|\(at\)|\[at\]"), re.compile(r"\(dot\)|\[dot\]")
 _HINTS = (("mail", "contact", "@"), ("ip", "host", "server", "addr"), ("card", "visa", "credit", "pay"), ("phone", "tel", "call", "mobile", "fax"))
 
 
@@ -51,15 +56,16 @@ def luhn(digits: str) -> bool:
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of every base span, in order."""
-    out, at = [], text.find("@")
+    # what precedes an at sign has none itself, so each sign has one run of signs before it, and the end of the match before
+    out, at, last = [], text.find("@"), 0
     while at >= 0:
-        # a match holds no white space, so the run around the sign is searched by itself
-        left = max(text.rfind(c, 0, at) for c in " \t\n\x0b\f\r") + 1
-        stop = _BREAK.search(text, at)
-        right = stop.start() if stop else len(text)
-        out += [(m.start(), 0, m.end()) for m in EMAIL.finditer(text, left, right)]
-        at = text.find("@", right)
-    for m in IP.finditer(text):
+        start = last + len(text[last:at].rstrip(_LOCAL))
+        found = _HOST.match(text, at + 1) if start < at else None
+        if found:
+            out.append((start, 0, found.end()))
+        last = found.end() if found else at + 1
+        at = text.find("@", last)
+    for m in _IP.finditer(text):
         if all(len(part.lstrip("0")) <= 3 and int(part) <= 255 for part in m.group().split(".")):
             out.append((m.start(), 1, m.end()))
     for m in CARD.finditer(text):
@@ -86,6 +92,21 @@ def proposals(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def evident(text: str, start: int, kind: int, end: int) -> bool:
+    """Whether a proposed span is personal data by evidence that the base patterns do not ask for: a form that becomes a
+    base match once its signs are written out, checked digits between any separators, or a word that announces it."""
+    span, before = text[start:end], text[max(0, start - 40) : start].lower()
+    hinted = any(hint in before for hint in _HINTS[kind])
+    digits = "".join(c for c in span if "0" <= c <= "9")
+    if kind == 0:
+        return EMAIL.fullmatch(_DOT.sub(".", _MARK.sub("@", span)).replace(" ", "")) is not None
+    if kind == 1:
+        return all(int(part) <= 255 for part in re.split("[.,:]", span)) and (span.count(".") == 3 or hinted)
+    if kind == 2:
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return 9 <= len(digits) <= 15 and (span[0] == "+" or hinted)
+
+
 def described(text: str, start: int, kind: int, end: int) -> list[float]:
     """Format and context of a span as numbers."""
     span, before = text[start:end], text[max(0, start - 40) : start].lower()
@@ -101,20 +122,25 @@ def described(text: str, start: int, kind: int, end: int) -> list[float]:
 
 
 def read(docs: DataFrame) -> DataFrame:
-    """doc_id, `row`, `base` (list of start, kind, end) and `proposed` (the same, `met`: meets a base span, `x`: features)."""
+    """doc_id, `row`, `base` (list of start, kind, end) and `proposed` (the same, `met`: meets a base span, `good`: does, or
+    is evident otherwise, `x`: features)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         span = [("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]
-        kinds = pa.list_(pa.struct(span)), pa.list_(pa.struct([*span, ("met", pa.bool_()), ("x", pa.list_(pa.float64()))]))
+        kinds = pa.list_(pa.struct(span)), pa.list_(pa.struct([*span, ("met", pa.bool_()), ("good", pa.bool_()), ("x", pa.list_(pa.float64()))]))
         for batch in batches:
             base, proposed = [], []
             for text in batch.column("_text").to_pylist():
                 text = text or ""
                 found = base_spans(text)
                 more = []
+                of_kind = [[(s, e) for s, k, e in found if k == kind] for kind in range(len(KINDS))]
                 for start, kind, end in proposals(text):
-                    met = any(k == kind and s < end and start < e for s, k, e in found)
-                    more.append({"start": start, "kind": kind, "end": end, "met": met, "x": described(text, start, kind, end)})
+                    # spans of a kind do not overlap, so the last that starts before the end is the one to be met
+                    at = bisect_left(of_kind[kind], (end,)) - 1
+                    met = at >= 0 and of_kind[kind][at][1] > start
+                    good = met or evident(text, start, kind, end)
+                    more.append({"start": start, "kind": kind, "end": end, "met": met, "good": good, "x": described(text, start, kind, end)})
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in found])
                 proposed.append(more)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("row"), pa.array(base, kinds[0]), pa.array(proposed, kinds[1])], names=["doc_id", "row", "base", "proposed"])
@@ -122,25 +148,28 @@ def read(docs: DataFrame) -> DataFrame:
     source = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.col("text").alias("_text"))
     kind = dict(source.dtypes)["doc_id"]
     span = "start: long, kind: int, end: long"
-    return source.mapInArrow(run, f"doc_id {kind}, row long, base array<struct<{span}>>, proposed array<struct<{span}, met: boolean, x: array<double>>>")
+    return source.mapInArrow(run, f"doc_id {kind}, row long, base array<struct<{span}>>, proposed array<struct<{span}, met: boolean, good: boolean, x: array<double>>>")
 
 
 def train(rows: DataFrame, max_examples: int = MAX_EXAMPLES) -> tuple[GBTClassificationModel | None, dict[int, float]]:
     """The trees, learnt from at most about `max_examples` proposals of each label, and each kind's least score.
 
-    Without proposals of both labels there is no model, and no kind has a least score.
+    The label is whether a proposal is evident or meets a base span. Only the fit is sampled: the least scores come from all
+    proposals of the fold that it leaves out, at their own mix. Without proposals of both labels there is no model, and no
+    kind has a least score.
     """
-    counts = {row.met: row.n for row in rows.groupBy("met").agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = {row.good: row.n for row in rows.groupBy("good").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(counts) < 2:
         return None, {}
-    share = F.when(F.col("met"), F.lit(max_examples / counts[True])).otherwise(F.lit(max_examples / counts[False]))
+    fold = F.pmod(F.xxhash64("start", "row"), F.lit(3))
+    share = F.when(F.col("good"), F.lit(max_examples / counts[True])).otherwise(F.lit(max_examples / counts[False]))
     drawn = F.pmod(F.xxhash64("row", "start", "kind"), F.lit(1_000_000)) < share * 1_000_000
-    examples = stage(rows.where(drawn).select("kind", "met", "x", F.pmod(F.xxhash64("start", "row"), F.lit(3)).alias("fold")))
-    learn = examples.where("fold != 0").select(array_to_vector("x").alias("features"), F.col("met").cast("double").alias("label"))
+    learn = stage(rows.where(drawn & (fold != 0)).select("good", "x")).select(array_to_vector("x").alias("features"), F.col("good").cast("double").alias("label"))
     if learn.select("label").distinct().count() < 2:
         return None, {}
     model = GBTClassifier(maxIter=TREES, maxDepth=TREE_DEPTH, stepSize=0.3, seed=1).fit(learn.coalesce(4))
-    held = judged(model, examples.where("fold = 0")).groupBy("kind", F.round("p", 3).alias("p")).agg(F.sum(F.col("met").cast("int")).alias("good"), F.count(F.lit(1)).alias("n"))
+    rest = judged(model, rows.where(fold == 0).select("kind", "good", "x"))
+    held = rest.groupBy("kind", F.round("p", 3).alias("p")).agg(F.sum(F.col("good").cast("int")).alias("good"), F.count(F.lit(1)).alias("n"))
     least: dict[int, float] = {}
     for kind in range(len(KINDS)):
         good = total = 0
@@ -161,7 +190,8 @@ def find(docs: DataFrame) -> DataFrame:
     """doc_id, `base` and `spans`: lists of (start, kind, end), by start and kind; `spans` has the added ones as well.
 
     `docs` has doc_id and text; other columns play no part. Kinds are numbers into KINDS, places are code points, ends
-    exclusive. Null and empty texts have no spans. Rows that repeat are read each. An empty table gives an empty one.
+    exclusive. Null and empty texts have no spans. Very long texts and words are read whole, in time that grows with their
+    length. Rows that repeat are read each. An empty table gives an empty one.
     """
     rows = stage(read(docs))
     each = rows.select("row", F.explode("proposed").alias("s")).select("row", "s.*")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -358,9 +359,44 @@ def test_personal_data(odd, none):
     assert personal_data.base_spans("1.2.3.999 a@b") == []
 
 
-def test_base_spans_equal_plain_search(documents):
-    for row in documents.collect():
-        text, want = row.text or "", []
+def test_long_words_take_linear_time():
+    """Ten million signs without white space; each of them would be a start anew."""
+    begun = time.perf_counter()
+    for word in ("1" * 10**7, "x" * 10**7 + "!y@z.example", "1." * (5 * 10**6), "a@" * 10**6, "+1(" * 10**6):
+        personal_data.base_spans(word)
+    assert time.perf_counter() - begun < 60
+    assert personal_data.base_spans("x" * 10**6 + "@a.b")[0] == (0, 0, 10**6 + 4)
+
+
+def test_evident_spans_are_added(spark):
+    """Forms that the base patterns miss are added where the trees have learnt them; look-alikes stay out."""
+    draw = random.Random(2)
+    rows = []
+    for i in range(1200):
+        number = "".join(str(draw.randint(0, 9)) for _ in range(15))
+        check = next(str(d) for d in range(10) if personal_data.luhn(number + str(d)))
+        card = ".".join((number + check)[j : j + 4] for j in (0, 4, 8, 12))
+        phone = f"{draw.randint(200, 999)}.{draw.randint(200, 999)}.{draw.randint(1000, 9999)}"
+        filler = " ".join(draw.choice(["alpha", "beta", "gamma", "delta"]) for _ in range(12))
+        shape = i % 4
+        text = [f"{filler} mail jo{i} (at) host{i} (dot) org {filler}", f"{filler} card {card} {filler}", f"{filler} call {phone} {filler}",
+                f"{filler} part {draw.randint(10**9, 10**10)} of {draw.randint(10**9, 10**10)} {filler}"][shape]
+        rows.append((i, text, shape))
+    found = personal_data.find(spark.createDataFrame(rows, "doc_id long, text string, shape int")).collect()
+    added = {shape: 0 for shape in range(4)}
+    for r in found:
+        assert {tuple(s) for s in r.base} <= {tuple(s) for s in r.spans}
+        added[rows[r.doc_id][2]] += len(r.spans) > len(r.base)
+    assert added[0] > 250 and added[2] > 250 and added[3] < 15, added
+
+
+@pytest.mark.parametrize("source", ["documents", "random"])
+def test_base_spans_equal_plain_search(documents, source):
+    draw = random.Random(5)
+    pieces = ["a", "b_", "%", "@", "@", ".", "-", " ", "\n", "1", "22", "255", ".", "+", "(", "+1 ", "é", "4111111111111111"]
+    texts = [row.text for row in documents.collect()] if source == "documents" else ["".join(draw.choices(pieces, k=60)) for _ in range(3000)]
+    for text in texts:
+        text, want = text or "", []
         for kind, pattern in enumerate((personal_data.EMAIL, personal_data.IP, personal_data.CARD, personal_data.PHONE)):
             for m in pattern.finditer(text):
                 digits = re.sub("[^0-9]", "", m.group())

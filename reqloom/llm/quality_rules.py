@@ -7,6 +7,7 @@ give the same verdicts. Counts are vectors of fixed length, summed by bucket in
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, St
 
 from reqloom.llm.ngrams import BITS, ShapedWords, features
 from reqloom.llm.shared import blocks, mixed, numbered, Words, sums_by_text, texts_of, windows
+from reqloom.operators.selection import values_at
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -137,8 +139,9 @@ def measure(docs: DataFrame, ratios: np.ndarray | None, columns: tuple[str, ...]
 
 
 def threshold_of(measured: DataFrame, trusted: DataFrame, quantile: float = QUANTILE) -> float:
-    """The value that a `quantile` of the trusted documents that pass the counts do not reach; 0 if there is none."""
+    """The value at the `quantile` of the trusted documents that pass the counts, exact whatever the order; 0 if there is none."""
     ids = trusted.select("doc_id").where(F.col("doc_id").isNotNull()).distinct()
     passing = measured.where(~F.col("base_failed")).join(ids, "doc_id", "left_semi")
-    found = passing.agg(F.percentile_approx("ratio", quantile, 100_000)).first()[0]
-    return 0.0 if found is None else float(found)
+    place = lambda n: [max(0, math.ceil(quantile * n) - 1)]
+    n, values = values_at(passing, ["ratio"], place)["ratio"]
+    return values[place(n)[0]] if n else 0.0

@@ -37,6 +37,8 @@ NEIGHBOURS = 2
 DIFFERENT = 24
 #: A bucket of at most so many nodes pairs all of them that are in different classes.
 SMALL = 48
+#: Earlier shingles by which a pair that was already given is told; it is given at least once whatever their number.
+BEFORE = 8
 #: Nodes of one side of a shingle's list that a block of pairs holds.
 BLOCK = 1024
 
@@ -280,10 +282,12 @@ def _prefixed(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     least = lambda share: F.ceil(share * F.col("n") - 1e-6)
     each = sets.join(nodes, "node").select("node", "class", "b0", "b1", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
     met = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("met"))
-    place = F.row_number().over(Window.partitionBy("node").orderBy("met", "shingle")).alias("at")
-    ranked = each.join(met, "shingle").select("*", place).where(F.col("at") <= F.col("n") - least(similarity) + 1)
+    rarest = Window.partitionBy("node").orderBy("met", "shingle")
+    place = F.row_number().over(rarest).alias("at")
+    before = F.collect_list("shingle").over(rarest.rowsBetween(-BEFORE, -1)).alias("before")
+    ranked = each.join(met, "shingle").select("*", place, before).where(F.col("at") <= F.col("n") - least(similarity) + 1)
     early = F.col("at") <= F.col("n") - least(2 * similarity / (1 + similarity)) + 1
-    listed = stage(ranked.where("met > 1").select("node", "class", "b0", "b1", "n", "shingle", "at", early.alias("early")))
+    listed = stage(ranked.where("met > 1").select("node", "class", "b0", "b1", "n", "shingle", "at", "before", early.alias("early")))
     lists = listed.groupBy("shingle").agg(
         F.min("class").alias("_low"), F.max("class").alias("_high"),
         F.ceil(F.count_if("early") / BLOCK).alias("rows"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("columns"),
@@ -291,7 +295,7 @@ def _prefixed(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     placed = listed.join(lists.where("_low != _high and rows > 0").select("shingle", "rows", "columns"), "shingle")
     every = lambda count: F.explode(F.sequence(F.lit(0).cast("long"), F.col(count) - 1))
     own = lambda count: F.pmod(F.xxhash64("node"), F.col(count))
-    names = ("node", "class", "b0", "b1", "n", "at")
+    names = ("node", "class", "b0", "b1", "n", "at", "before")
     short = placed.where("early").select("shingle", *names, own("rows").alias("row"), every("columns").alias("column"))
     long = placed.select("shingle", *[F.col(c).alias(f"_{c}") for c in names], every("rows").alias("row"), own("columns").alias("column"))
     ordered = (F.col("n") < F.col("_n")) | ((F.col("n") == F.col("_n")) & (F.col("node") < F.col("_node")))
@@ -299,7 +303,9 @@ def _prefixed(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     common = 1 + F.least(F.col("n") - F.col("at"), F.col("_n") - F.col("_at"))
     enough = common >= similarity / (1 + similarity) * (F.col("n") + F.col("_n")) - 1e-6
     near = alike((F.col("b0"), F.col("b1")), (F.col("_b0"), F.col("_b1")))
-    found = short.join(long, ["shingle", "row", "column"]).where((F.col("class") != F.col("_class")) & ordered & enough & near)
+    # a pair that shares one of the shingles just before comes from that one
+    first = ~F.arrays_overlap("before", "_before")
+    found = short.join(long, ["shingle", "row", "column"]).where((F.col("class") != F.col("_class")) & ordered & enough & near & first)
     return found.select(F.least("node", "_node").alias("a"), F.greatest("node", "_node").alias("b")).distinct()
 
 

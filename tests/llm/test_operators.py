@@ -290,6 +290,22 @@ def test_signatures_estimate_probability_jaccard():
     assert empty.shape == (1, 8) and not empty.any()
 
 
+def test_weighted_signatures():
+    """Repeats weigh more; agreement follows the probability Jaccard similarity of the weights."""
+    texts = [b"a b c d e f " * 40 + b" ".join(b"w%d" % i for i in range(60)), b" ".join(b"w%d" % i for i in range(20, 80)) + b" a b c d e f" * 2]
+    shingles, bounds, times = near_dedup.shingles_of(texts, near_dedup.Words())
+    weights = near_dedup.weights_of(times)
+    assert times.max() > 30
+    assert weights.min() == 1.0 and 1.09 < weights.max() <= 1.0 + near_dedup.EXTRA
+    sides = [dict(zip(shingles[low:high].tolist(), weights[low:high])) for low, high in zip(bounds, bounds[1:])]
+    every = set(sides[0]) | set(sides[1])
+    similarity = sum(
+        1 / sum(max(sides[0].get(y, 0) / sides[0][x], sides[1].get(y, 0) / sides[1][x]) for y in every) for x in set(sides[0]) & set(sides[1])
+    )
+    signs = near_dedup.signatures(shingles, weights, bounds, 4096)
+    assert abs((signs[0] == signs[1]).mean() - similarity) < 0.05
+
+
 def sequential_tree(data, text, depth):
     """Log10 probability of a coded text after training on the coded texts of `data`: plain sequential counting."""
     counts: dict = {}

@@ -12,7 +12,6 @@ own pairs back.
 from __future__ import annotations
 
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -33,14 +32,12 @@ from reqloom.operators.staging import stage
 FIRST = "byte_bpe_50k.json"
 SECOND = "piece_bpe_32k.model"
 BLOCK = 2 << 20
-#: Cuts of texts that a process keeps encoded, for each side.
+#: Cuts of texts that a process keeps encoded by the piece model.
 KEPT = 60_000
 
 _WIDE = re.compile(r"\s\s")
 _GAP = re.compile(r"(?<=\S) (?=\S)")
 _BYTE = re.compile(r"<0x([0-9A-F]{2})>")
-#: How byte-level models write the bytes that are no visible Latin-1 signs: as the signs from 256 on, in order.
-_HIDDEN = [*range(33), *range(127, 161), 173]
 
 
 class Pieces:
@@ -78,20 +75,12 @@ class Pieces:
         return [ids + b"".join(map(get, pieces)) for ids, pieces in zip(first, cut)]
 
 
-def byte_strings(encoder: Encoder) -> list[bytes]:
-    """The bytes of each id of a byte-level model."""
-    shown = {chr(b): b for b in range(256) if b not in _HIDDEN} | {chr(256 + i): b for i, b in enumerate(_HIDDEN)}
-    names = [encoder.tokenizer.id_to_token(i) for i in range(encoder.tokenizer.get_vocab_size())]
-    return [bytes(shown[sign] for sign in name) if all(sign in shown for sign in name) else name.encode() for name in names]
-
-
 class Sides:
     """Both tokenizers with the bytes of their ids, and ids as text with what follows them in a group."""
 
     def __init__(self, first: str, second: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.a, self.b = Encoder(first, KEPT), Pieces(second)
-        self.bytes = byte_strings(self.a), self.b.bytes
+        self.a, self.b = Encoder(first), Pieces(second)
+        self.bytes = self.a.bytes, self.b.bytes
         self.lengths = tuple(np.array([len(b) for b in side], dtype=np.int64) for side in self.bytes)
         (a, b) = (len(side) for side in self.bytes)
         self.ids = a, b

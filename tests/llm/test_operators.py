@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import random
 import re
@@ -166,6 +167,18 @@ def test_packing(odd, none, documents):
             assert at <= 2048
 
 
+def test_other_files_go_through_the_library(tmp_path):
+    content = json.loads(open(public_tokenizers.path(packing.TOKENIZER), encoding="utf-8").read())
+    content["pre_tokenizer"]["add_prefix_space"] = True
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(content))
+    other, texts = packing.Encoder(str(path)), ["one two", "", " <|endoftext|> é"]
+    assert other.table is None
+    want = Tokenizer.from_file(str(path))
+    want.encode_special_tokens = True
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in other.encode(texts)] == [want.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_closest_is_the_best_sum():
     import itertools
 
@@ -184,7 +197,8 @@ def test_cuts_do_not_change_ids():
     tokenizer.encode_special_tokens = True
     rng, signs = random.Random(1), [*"aB1 '._\n\t\r\x00\x1c\x7f\x85\xa0\xad\xb2éßŁƂ中🙂\u3000\u200b\u0301", "'s", "'ll", "  "]
     texts += ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(5000)]
-    encoder = packing.Encoder(public_tokenizers.path(packing.TOKENIZER), most=2000)
+    encoder = packing.Encoder(public_tokenizers.path(packing.TOKENIZER))
+    assert encoder.table is not None
     for start in range(0, len(texts), 500):
         some = texts[start : start + 500]
         for text, found in zip(some, encoder.encode(some)):

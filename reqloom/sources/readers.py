@@ -47,8 +47,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType = RAW_CSV) ->
         union = rows if union is None else union.unionByName(rows, allowMissingColumns=True)
     if union is None:
         return spark.createDataFrame([], schema)
-    known = [name for name in kinds if name in union.columns]
-    return union.select(*[F.col(f"`{name}`") for name in [*known, *(n for n in union.columns if n not in kinds)]])
+    return union
 
 
 def _headers(spark: SparkSession, path: str) -> list[tuple[str, tuple[str, ...]]]:

@@ -20,7 +20,7 @@ MONITORING = (
     "timestamp string, endpoint string, status_code int, latency double, total_requests bigint, "
     "success_requests bigint, success_rate double"
 )
-VALID = ("2026-02-17T10:00:00", "/v1/test", 200, 120.0, 100, 90, 0.9)
+VALID = ("2031-05-04T10:00:00", "/shop/cart", 200, 120.0, 100, 90, 0.9)
 
 
 def issues_of(spark, row, schema=MONITORING):

@@ -21,7 +21,7 @@ from tests.conftest import SMALL, rows_of
 
 NOW = datetime(2026, 3, 1)
 RECORDS = [
-    {"timestamp": "2026-02-17T10:00:00", "trace": f"t{i}", "api_path": "/v1/test", "status_code": 200, "latency_ms": i + 1}
+    {"timestamp": "2031-05-04T10:00:00", "trace": f"t{i}", "api_path": "/shop/cart", "status_code": 200, "latency_ms": i + 1}
     for i in range(3)
 ]
 
@@ -59,7 +59,8 @@ def test_csv_files_of_several_headers(spark, tmp_path):
     write(folder / "c.csv", "")
     (folder / "d.csv.gz").write_bytes(gzip.compress(b"status_code,trace\n500,t4\n"))
     got = readers.read_csv(spark, str(folder))
-    assert got.columns == ["trace", "status_code", "latency_ms", "extra"]
+    assert set(got.columns) == {"trace", "status_code", "latency_ms", "extra"}
+    got = got.select("trace", "status_code", "latency_ms", "extra")
     want = [("t1", "404", "12", None), ("t2", "200", "13", None), ("t3, quoted", None, "14", "x"), ("t4", "500", None, None)]
     assert sorted(tuple(row) for row in got.collect()) == want
     assert readers.read_csv(spark, str(folder / "c.csv")).count() == 0
@@ -72,7 +73,7 @@ def test_csv_files_of_several_headers(spark, tmp_path):
 
 
 def test_source_dispatch(spark, tmp_path):
-    entries = [{"timestamp": f"2026-02-17T10:00:0{i}", "severity": "ERROR" if i % 2 else "INFO", "trace": f"t{i}"} for i in range(6)]
+    entries = [{"timestamp": f"2031-05-04T10:00:0{i}", "severity": "ERROR" if i % 2 else "INFO", "trace": f"t{i}"} for i in range(6)]
     path = write(tmp_path / "e.jsonl", "\n".join(json.dumps(e) for e in entries))
     errors = readers.read_logs(spark, "cloud", path, "severity = 'ERROR'")
     assert {r["trace"] for r in errors.collect()} == {"t1", "t3", "t5"}
@@ -166,9 +167,9 @@ def test_run_pipeline(spark, tmp_path):
     for runs in (1, 2):
         tables = P.run_pipeline(spark, "jsonl", "local", store, out, path=path, ingest_ts=NOW)
         row = tables["dashboard_latency_daily"].first()
-        assert (row["day"], row["api_path"], row["total_requests"]) == ("2026-02-17", "/v1/test", 3 * runs)
+        assert (row["day"], row["api_path"], row["total_requests"]) == ("2031-05-04", "/shop/cart", 3 * runs)
         assert (row["avg_latency_ms"], row["max_latency_ms"]) == (2.0, 3)
-    assert tables["dashboard_errors_hourly"].first()["hour"] == "2026-02-17 10:00:00"
+    assert tables["dashboard_errors_hourly"].first()["hour"] == "2031-05-04 10:00:00"
     with pytest.raises(P.PipelineError):
         P.run_pipeline(spark, "jsonl", "local", store, out, start_from="load", path=path)
 
@@ -202,7 +203,7 @@ def test_exploration_edge_cases(spark):
     assert top == [("/a", 2, 10.0, 10.0, 10.0, 10.0), ("/b", 1, None, None, None, None)]
     assert [tuple(r) for r in explore.daily_volume(df).collect()] == [(datetime(2024, 1, 1).date(), 1)]
     assert [tuple(r) for r in explore.hourly_volume(df).collect()] == [(datetime(2024, 1, 1), 1)]
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="the table lacks"):
         explore.hourly_volume(df.drop("event_timestamp"))
 
 
@@ -311,12 +312,12 @@ def test_checks_on_a_stream(spark, tmp_path):
 def test_envelopes(spark, tmp_path):
     folder = tmp_path / "events"
     folder.mkdir()
-    good = {"event_id": "e-1", "event_type": "http:request", "source": "api/v1", "payload": {"a": "1"}, "timestamp": "2026-02-17T10:00:00Z"}
+    good = {"event_id": "e-1", "event_type": "http:request", "source": "api/v1", "payload": {"a": "1"}, "timestamp": "2031-05-04T10:00:00Z"}
     write(folder / "a.txt", "\n".join([json.dumps(good), json.dumps({**good, "event_id": "e 2"}), "junk"]))
     stream = streams.read_envelopes(spark.readStream.format("text").load(str(folder)))
     rows = {r["event_id"]: r for r in drain(stream, spark, tmp_path, "append", "envelopes").collect()}
     assert {k: r["is_valid"] for k, r in rows.items()} == {"e-1": True, "e 2": False, None: False}
-    assert (rows["e-1"]["timestamp"], rows["e-1"]["payload"]) == (datetime(2026, 2, 17, 10), {"a": "1"})
+    assert (rows["e-1"]["timestamp"], rows["e-1"]["payload"]) == (datetime(2031, 5, 4, 10), {"a": "1"})
 
 
 def test_request_stream(spark, tmp_path):

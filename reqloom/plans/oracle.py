@@ -300,7 +300,7 @@ tests AS (
 
 def _drift_report(samples: str) -> str:
     return f"""{_drift_tests(samples)}
-SELECT rule, metric, round(statistic, 6) AS statistic, round(p, 5) AS p_value, p < CAST(0.05 AS DOUBLE) AS drifted,
+SELECT rule, metric, round(statistic, 6) AS statistic, CASE WHEN rule = 'drift_numeric' THEN round(p, 5) ELSE round(p, 6) END AS p_value, p < CAST(0.05 AS DOUBLE) AS drifted,
   CASE WHEN p < CAST(0.05 AS DOUBLE) THEN 'Drift detected in metric ' || metric END AS message
 FROM tests"""
 
@@ -737,6 +737,10 @@ SELECT doc_id, CAST(len(items) AS INTEGER) AS n_items, array_to_string(items, '|
         FROM c"""
     ),
     "source_csv": _normalize_flat(True, nested=False),
+    "run_pipeline": f"""
+SELECT strftime(event_timestamp, '%Y-%m-%d') AS day, api_path, count(*) AS total_requests, round(avg(latency_ms), 6) AS avg_latency_ms,
+  max(latency_ms) AS max_latency_ms
+FROM ({_normalize_flat(True)}) GROUP BY ALL""",
     "append_twice": _sql(
         "SELECT day AS event_date, api_path, 2 * count(*) AS total_requests FROM requests GROUP BY day, api_path"
     ),
@@ -749,6 +753,9 @@ _SAME = {
     "source_parquet": "normalize_flat",
     "source_log_entries": "normalize_log_entries",
     "replace_table": "status_code_kpis",
+    "define_view": "status_code_kpis",
+    "drift_report_file": "drift_report",
+    "drift_between": "drift_report",
     "export_json": "status_code_kpis",
     "export_csv": "status_code_kpis",
     "export_parquet": "status_code_kpis",

@@ -257,8 +257,42 @@ def drift_features(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(drift.drift_features(ref.unionByName(cur)))
 
 
+def _tests_of(metrics: DataFrame) -> DataFrame:
+    """A row per test; the SQL has the p-value's expansion, which five digits hold."""
+    expanded = F.col("rule") == "drift_numeric"
+    return rounded(metrics.withColumn("p_value", F.when(expanded, F.round("p_value", 5)).otherwise(F.col("p_value"))))
+
+
 def drift_report(spark: SparkSession, folder: str) -> DataFrame:
-    return rounded(drift.drift_report(*_samples(spark, folder))[1])
+    return _tests_of(drift.drift_report(*_samples(spark, folder))[1])
+
+
+def drift_report_file(spark: SparkSession, folder: str) -> DataFrame:
+    metrics = drift.drift_report(*_samples(spark, folder))[1]
+    path = drift.write_drift_report(metrics, new_path(spark))
+    return _tests_of(spark.read.schema(metrics.schema).json(path))
+
+
+def drift_between(spark: SparkSession, folder: str) -> DataFrame:
+    """The requests before and after a day; ten times the latency of the samples moves no test."""
+    middle = datetime(2024, 1, 16)
+    spans = (datetime(2000, 1, 1), middle), (middle, datetime(2100, 1, 1))
+    return _tests_of(pipeline.drift_between(inputs.requests(spark, folder), *spans)[1])
+
+
+def define_view(spark: SparkSession, folder: str) -> DataFrame:
+    writers.define_view(status.status_code_kpis(inputs.requests(spark, folder)), "reqloom_status_codes")
+    return rounded(spark.table("reqloom_status_codes"))
+
+
+def run_pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Two runs over halves of the records: the second builds the days that it adds to. The daily table, as stored."""
+    raw, path = inputs.raw_flat(spark, folder), new_path(spark)
+    first = F.coalesce(F.col("trace"), F.lit("")).endswith("3")
+    for name, part in (("a", raw.where(first)), ("b", raw.where(~first))):
+        part.write.json(f"{path}/{name}")
+        tables = pipeline.run_pipeline(spark, "jsonl", "local", f"{path}/store", f"{path}/out", path=f"{path}/{name}", ingest_ts=INGEST)
+    return rounded(tables["dashboard_latency_daily"])
 
 
 def drift_summary(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,7 +301,7 @@ def drift_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def drift_report_lines(spark: SparkSession, folder: str) -> DataFrame:
     ref, cur = (inputs.line_sample(spark, folder, current) for current in (False, True))
-    return rounded(drift.drift_report(ref, cur)[1])
+    return _tests_of(drift.drift_report(ref, cur)[1])
 
 
 # sources, sinks and jobs: the given tables are written to the shared folder and read back
@@ -437,6 +471,10 @@ QUERIES: dict[str, Query] = {
     "drift_ks_stat": drift_ks_stat,
     "drift_chi2_stat": drift_chi2_stat,
     "drift_features": drift_features,
+    "drift_report_file": drift_report_file,
+    "drift_between": drift_between,
+    "define_view": define_view,
+    "run_pipeline": run_pipeline,
     "drift_report": drift_report,
     "drift_summary": drift_summary,
     "drift_report_lines": drift_report_lines,

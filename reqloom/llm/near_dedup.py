@@ -2,9 +2,9 @@
 
 Each shingle is a Poisson process whose arrivals, at a rate of its weight, fall on random components; the first arrival on a
 component signs it, so two texts agree on a component with the probability of their probability Jaccard similarity. A
-shingle's process stops once its arrivals come after all components' signs. A shingle that a text repeats weighs more, up to
-1 + EXTRA. Links are defined on sets: with weights that close, sets at a similarity of 0.8 agree on 0.78 of the components
-or more where weights are alike, so signatures only choose whom to compare.
+shingle's process stops once its arrivals come after all components' signs. A shingle that a text repeats is mostly common
+matter and weighs less, down to 1 - LESS. Links are defined on sets: with weights that close, sets at a similarity of 0.8
+agree on 0.78 of the components or more where weights are alike, so signatures only choose whom to compare.
 
 Texts with equal words are one node. Nodes that share a band's components fall into a bucket. Within a bucket a node is
 paired with the bucket's first node and with its neighbours in the order of the rest of the signature; no bucket is paired
@@ -33,8 +33,8 @@ BANDS = 24
 BAND_ROWS = 4
 #: Pairs whose signatures agree less are not verified: five standard deviations below the similarity.
 ESTIMATE = 0.5
-#: What repeats add to a shingle's weight at most.
-EXTRA = 0.1
+#: What repeats take from a shingle's weight at most.
+LESS = 0.1
 NEIGHBOURS = 2
 #: Pairs that differ in more of the signature's bits are not compared further: at the similarity a bit differs with
 #: a chance of a tenth, so this is near five standard deviations above what is expected.
@@ -62,8 +62,8 @@ def shingles_of(texts: list[bytes], words: Words, width: int = SHINGLE) -> tuple
 
 
 def weights_of(times: np.ndarray) -> np.ndarray:
-    """Weights of shingles that a text has so often: 1 for one, and never more than 1 + EXTRA."""
-    return 1.0 + EXTRA * (1.0 - 1.0 / times)
+    """Weights of shingles that a text has so often: 1 for one, and never less than 1 - LESS."""
+    return 1.0 - LESS * (1.0 - 1.0 / times)
 
 
 def signatures(shingles: np.ndarray, weights: np.ndarray, bounds: np.ndarray, length: int) -> np.ndarray:

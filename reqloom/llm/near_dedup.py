@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
@@ -43,6 +43,8 @@ DIFFERENT = 24
 SMALL = 48
 #: Earlier shingles by which a pair that was already given is told; it is given at least once whatever their number.
 BEFORE = 8
+#: Classes of shingles that are counted to tell rare from common ones; the counts go to every task.
+TALLIES = 1 << 16
 #: Nodes of one side of a shingle's list that a block of pairs holds.
 BLOCK = 1024
 
@@ -285,19 +287,38 @@ def _crossed(buckets: DataFrame) -> DataFrame:
 def _prefixed(nodes: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
     """Pairs of nodes of different classes that may have the similarity: none that has it is missing.
 
-    `nodes` has node, class, b0 and b1. Shingles are ordered from the rarest; two sets of the similarity share one among the
-    first of each. The smaller set needs fewer of them than the larger, so shingles of a common template stay out of its
-    part. A shingle's list is paired in blocks of BLOCK by BLOCK nodes.
+    `nodes` has node, class, b0 and b1. Shingles are ordered from the rarest, as far as the counts of TALLIES classes of them
+    tell: any order that all sets share will do. Two sets of the similarity share one among the first of each. The smaller set
+    needs fewer of them than the larger, so shingles of a common template stay out of its part. A shingle's list is paired in
+    blocks of BLOCK by BLOCK nodes.
     """
-    least = lambda share: F.ceil(share * F.col("n") - 1e-6)
-    each = sets.join(nodes, "node").select("node", "class", "b0", "b1", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle"))
-    met = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("met"))
-    rarest = Window.partitionBy("node").orderBy("met", "shingle")
-    place = F.row_number().over(rarest).alias("at")
-    before = F.collect_list("shingle").over(rarest.rowsBetween(-BEFORE, -1)).alias("before")
-    ranked = each.join(met, "shingle").select("*", place, before).where(F.col("at") <= F.col("n") - least(similarity) + 1)
-    early = F.col("at") <= F.col("n") - least(2 * similarity / (1 + similarity)) + 1
-    listed = stage(ranked.where("met > 1").select("node", "class", "b0", "b1", "n", "shingle", "at", "before", early.alias("early")))
+    each = sets.join(nodes, "node").select("node", "class", "b0", "b1", "shingles")
+    shingle = each.select(F.explode("shingles").alias("shingle"))
+    tally = shingle.groupBy(F.pmod("shingle", F.lit(TALLIES)).alias("of")).agg(F.count(F.lit(1)).alias("n"))
+    common = np.zeros(TALLIES, np.int64)
+    for row in tally.collect():  # TALLIES rows at most
+        common[row.of] = row.n
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column("shingles")
+            sizes = np.diff(lists.offsets.to_numpy())
+            shingles, text = lists.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+            order = np.lexsort((shingles, common[shingles % TALLIES], text))
+            ranked, n = shingles[order], sizes[text]
+            at = np.arange(len(ranked)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
+            least = lambda share: np.ceil(share * n - 1e-6)
+            kept = np.flatnonzero(at <= n - least(similarity) + 1)
+            early = (at <= n - least(2 * similarity / (1 + similarity)) + 1)[kept]
+            held = np.minimum(at[kept] - 1, BEFORE)
+            edges = np.concatenate(([0], np.cumsum(held)))
+            before = ranked[np.repeat(kept - held, held) + np.arange(edges[-1]) - np.repeat(edges[:-1], held)]
+            of_node = [batch.column(name).take(pa.array(text[kept])) for name in ("node", "class", "b0", "b1")]
+            columns = [*of_node, pa.array(n[kept].astype(np.int32)), pa.array(ranked[kept]), pa.array(at[kept].astype(np.int32))]
+            columns += [pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(before)), pa.array(early)]
+            yield pa.RecordBatch.from_arrays(columns, names=["node", "class", "b0", "b1", "n", "shingle", "at", "before", "early"])
+
+    listed = stage(each.mapInArrow(run, "node long, class long, b0 long, b1 long, n int, shingle int, at int, before array<int>, early boolean"))
     lists = listed.groupBy("shingle").agg(
         F.min("class").alias("_low"), F.max("class").alias("_high"),
         F.ceil(F.count_if("early") / BLOCK).alias("rows"), F.ceil(F.count(F.lit(1)) / BLOCK).alias("columns"),

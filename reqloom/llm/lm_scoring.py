@@ -9,7 +9,8 @@ the model as trained: each decision's probability mixes the estimates of all dep
 
 Texts are read once into blocks, as numbers of the block's distinct words. Only a block's distinct words and its distinct
 grams (a context and its byte) move between tasks, to be counted, and to bring their values back to the block. No table
-grows on the driver: it holds the nodes of depth 0 and 1, 65,535 at most.
+grows on the driver: it holds the nodes of depth 0 and 1, 65,535 at most. Counted grams reach a task in the order of their
+contexts, which works on some hundred thousand at once, cut between contexts of three bytes.
 """
 
 from __future__ import annotations
@@ -28,8 +29,10 @@ from reqloom.operators.staging import stage
 
 DEPTH = 5
 SPACE = 0x20
-#: Bytes of text in a block, and in the part of a block that is worked on at once.
-BLOCK, PART = 32 << 20, 1 << 20
+#: Bytes of text in a block, and in the part of a block that is worked on at once; counted grams worked on at once.
+BLOCK, PART, CHUNK = 32 << 20, 1 << 18, 50_000
+#: Grams that share so many bytes of context are worked on at once.
+CUT = 3
 HALF = np.log(0.5)
 
 
@@ -133,12 +136,17 @@ def encoded(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first = TaskContext.get().partitionId() << 32
         for number, block in enumerate(blocks(batches, "_text", BLOCK)):
-            words = Words()
-            codes, bounds = numbered((text.lower() for text in texts_of(block, "_text")), words)
+            words, pieces, sizes = Words(), [], []
+            for piece in blocks([block], "_text", PART):
+                codes, bounds = numbered((text.lower() for text in texts_of(piece, "_text")), words)
+                pieces.append(codes.astype("<i4"))
+                sizes.append(np.diff(bounds))
+            codes, bounds = np.concatenate(pieces), np.concatenate(([0], np.cumsum(np.concatenate(sizes))))
             spelled = b" ".join(words)
+            del words, pieces
             lists = [pa.ListArray.from_arrays(pa.array([0, block.num_rows], pa.int32()), block.column(c)) for c in ("doc_id", "held_out")]
             sizes = pa.array([[len(codes), len(bounds), len(spelled)]], pa.list_(pa.int64()))
-            data = [pa.array([packed(x)]) for x in (codes.astype("<i4"), bounds, spelled)]
+            data = [pa.array([packed(x)]) for x in (codes, bounds, spelled)]
             yield pa.RecordBatch.from_arrays([pa.array([first + number]), *lists, sizes, *data], names=["block", "ids", "held", "sizes", "codes", "bounds", "spelled"])
 
     source = docs.select("doc_id", "held_out", F.coalesce(F.col("text"), F.lit("")).alias("_text"))
@@ -185,7 +193,7 @@ class Block:
             unseen = np.unique(grams[~train])
             keys += [seen, unseen]
             counts += [times, np.zeros(len(unseen), np.int64)]
-            if len(keys) > 16 or end == len(self.train):
+            if len(keys) > 32 or end == len(self.train):
                 joined = np.concatenate(keys)
                 order = np.argsort(joined, kind="stable")
                 keys, counts = ([merged] for merged in raised(joined[order], np.concatenate(counts)[order]))
@@ -198,8 +206,8 @@ def entries(rows: DataFrame, what: str, depth: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
-                block = Block(row)
+            for at in range(batch.num_rows):
+                block = Block(row := batch.slice(at, 1).to_pylist()[0])
                 keys, counts = block.word_counts() if what == "words" else block.gram_counts(depth)
                 for start in range(0, len(keys), 100_000):
                     some = slice(start, start + 100_000)
@@ -209,37 +217,105 @@ def entries(rows: DataFrame, what: str, depth: int) -> DataFrame:
     return rows.select("block", "held", "sizes", "codes", "bounds", "spelled").mapInArrow(run, "of_block long, key long, n long")
 
 
-def upper_levels(counted: DataFrame, depth: int) -> list[Level]:
-    """Levels 1 and 0, from the sums that the trees below depth 2 give up; 256 * 255 rows at most reach the driver."""
+def whole_contexts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.Table]:
+    """Tables of about `most` rows from batches in the order of `place`, none cut within a place.
 
-    def summed(rows: pa.Table) -> pa.Table:
-        level = levels(rows.column("key").to_numpy(), rows.column("n").to_numpy(), depth, 2)[-1]
-        return pa.table({"key": level.keys >> 8, "zeros": level.zeros, "ones": level.ones, "log": level.log})
+    Even places have the nodes for the odd ones that follow; a table whose odd places go on from the one before has them too.
+    """
+    held, size, enough = [], 0, most
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= enough:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            place = rows.column("place").to_numpy()
+            end = int(np.searchsorted(place, place[-1]))
+            of_nodes = place[-1] >> 9 << 9
+            first, stop = np.searchsorted(place, [of_nodes, of_nodes + 1]) if place[-1] % 2 else (end, end)
+            if end > stop - first:
+                yield rows.slice(0, end)
+                rows = pa.concat_tables([rows.slice(first, stop - first), rows.slice(end)])
+            held, size = rows.to_batches(), rows.num_rows
+            enough = max(most, 2 * size)
+    if size:
+        yield pa.Table.from_batches(held)
 
-    below = counted.where("n > 0").groupBy(top_of(depth)).applyInArrow(summed, "key long, zeros double, ones double, log double")
-    rows = sorted(below.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log")]).collect())
-    table = np.array([tuple(row) for row in rows], dtype=float).reshape(-1, 4)
-    first = Level(table[:, 0].astype(np.int64), *table[:, 1:].T)
-    return [first, Level(*raised(first.keys >> 8, first.zeros, first.ones, first.log))]
+
+def in_order(rows: DataFrame) -> DataFrame:
+    """The rows of each node's contexts in one task, in the order of `place`."""
+    return rows.repartition(F.shiftright("place", 9)).sortWithinPartitions("place", "key")
+
+
+def placed(counted: DataFrame, depth: int, cut: int) -> DataFrame:
+    """Grams with their place: their contexts' first `cut` bytes, doubled, and one."""
+    return counted.withColumn("place", F.shiftright("key", 8 * (depth + 1 - cut)) * 2 + 1)
+
+
+SUMS = "key long, zeros double, ones double, log double"
 
 
-def top_of(depth: int) -> F.Column:
-    """The two bytes before the coded one."""
-    return F.shiftright("key", 8 * (depth - 1))
+def summed(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log")])
 
 
-def gram_scores(counted: DataFrame, depth: int) -> DataFrame:
+def arrays(rows: pa.Table | pa.RecordBatch) -> list[np.ndarray]:
+    """Keys, zeros, ones and log of the children's product, ascending by key."""
+    columns = [rows.column(c).to_numpy() for c in ("key", "zeros", "ones", "log")]
+    order = np.argsort(columns[0], kind="stable")
+    return [c[order] for c in columns]
+
+
+def given_up(level: Level) -> pa.RecordBatch:
+    """What a level's nodes add to the level above."""
+    columns = raised(level.keys >> 8, level.zeros, level.ones, level.log)
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "zeros", "ones", "log"])
+
+
+def inner_nodes(counted: DataFrame, depth: int, cut: int, chunk: int) -> DataFrame:
+    """Nodes of depth `cut` - 1, from the sums that the trees below give up."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_contexts(batches, chunk):
+            yield given_up(levels(rows.column("key").to_numpy(), rows.column("n").to_numpy(), depth, cut)[-1])
+
+    return stage(summed(in_order(placed(counted.where("n > 0"), depth, cut)).mapInArrow(run, SUMS)))
+
+
+def upper_levels(nodes: DataFrame, cut: int) -> list[Level]:
+    """Levels above `nodes`, up to 0; 256 * 255 rows at most reach the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield given_up(Level(*arrays(batch)))
+
+    rows = sorted(summed(nodes.mapInArrow(run, SUMS)).collect())
+    table = np.array([tuple(row) for row in rows], dtype=float).reshape(-1, 4)
+    out = [Level(table[:, 0].astype(np.int64), *table[:, 1:].T)]
+    for _ in range(cut - 2):
+        out.append(Level(*raised(out[-1].keys >> 8, out[-1].zeros, out[-1].ones, out[-1].log)))
+    return out
+
+
+def gram_scores(counted: DataFrame, depth: int, chunk: int = CHUNK) -> DataFrame:
     """`key` and `log_p` (base 10) of every gram, counted in training or not."""
-    upper = upper_levels(counted, depth)
+    cut = min(CUT, depth)
+    nodes = inner_nodes(counted, depth, cut, chunk)
+    upper = upper_levels(nodes, cut)
+    at = F.col("key").bitwiseAND(F.lit((1 << 8 * (cut - 1)) - 1)) * 512
 
-    def run(rows: pa.Table) -> pa.Table:
-        grams, counts = rows.column("key").to_numpy(), rows.column("n").to_numpy()
-        seen = counts > 0
-        p = probabilities(grams, levels(grams[seen], counts[seen], depth, 2), depth, depth)
-        p = probabilities(grams, upper, depth, 1, p)
-        return pa.table({"key": grams, "log_p": np.log10(p).sum(axis=0)})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in whole_contexts(batches, chunk):
+            is_gram = rows.column("place").to_numpy() % 2 == 1
+            of_nodes, of_grams = rows.filter(pa.array(~is_gram)), rows.filter(pa.array(is_gram))
+            grams, counts = of_grams.column("key").to_numpy(), of_grams.column("n").to_numpy()
+            seen = counts > 0
+            found = [*levels(grams[seen], counts[seen], depth, cut), Level(*arrays(of_nodes))]
+            p = probabilities(grams, found, depth, depth)
+            p = probabilities(grams, upper, depth, cut - 2, p)
+            yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(np.log10(p).sum(axis=0))], names=["key", "log_p"])
 
-    return counted.groupBy(top_of(depth)).applyInArrow(run, "key long, log_p double")
+    both = placed(counted, depth, cut).unionByName(nodes.withColumn("place", at), allowMissingColumns=True)
+    return in_order(both).mapInArrow(run, "key long, log_p double")
 
 
 def score(docs: DataFrame, held_out: str = "held_out", depth: int = DEPTH) -> DataFrame:
@@ -256,7 +332,7 @@ def score(docs: DataFrame, held_out: str = "held_out", depth: int = DEPTH) -> Da
     marked = docs.select("doc_id", "text", F.coalesce(F.col(held_out), F.lit(False)).alias("held_out"))
     rows = stage(encoded(marked))
     texts = rows.agg(F.sum(F.size(F.filter("held", lambda held: ~held))).alias("n")).first()[0] or 0
-    words, grams = entries(rows, "words", depth), entries(rows, "grams", depth)
+    words, grams = entries(rows, "words", depth), stage(entries(rows, "grams", depth))
 
     counted = stage(words.withColumn("value", F.sum("n").over(Window.partitionBy("key"))))
     gram_counts = stage(grams.groupBy("key").agg(F.sum("n").alias("n")))

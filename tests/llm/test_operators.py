@@ -7,10 +7,12 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -380,6 +382,49 @@ def test_lm_scoring(odd, none, spark):
         assert abs(r.bits_per_byte + r.score / math.log10(2) / len(coded[r.doc_id])) < 1e-9
 
 
+def test_lm_scoring_cuts_grams_between_contexts(spark):
+    """Grams of one two-byte context are worked on in pieces that are small, whole by three bytes, and give the same scores."""
+    rng = np.random.default_rng(3)
+    tail = rng.integers(97, 101, (3000, 4))
+    keys = np.unique(sum((tail[:, i] << (8 * (3 - i)) for i in range(4)), (32 << 40) | (101 << 32)))
+    keys = np.concatenate([keys, keys[:40] + (1 << 32), keys[:1] + (1 << 40)])
+    counts = rng.integers(0, 4, len(keys))
+    contexts = np.unique(keys >> 32)
+    rows = pa.table({"place": np.concatenate([contexts * 512, (keys >> 24) * 2 + 1]), "key": np.concatenate([contexts, keys])}).sort_by("place")
+    pieces = list(lm_scoring.whole_contexts(iter(rows.to_batches(max_chunksize=10)), 20))
+    seen = np.concatenate([p["key"].to_numpy()[p["place"].to_numpy() % 2 == 1] for p in pieces])
+    assert seen.tolist() == keys.tolist() and len(pieces) >= 4 and max(map(len, pieces)) <= 2 * 64 + 12
+    cut = [set(p["place"].to_pylist()) for p in pieces]
+    assert all(x.isdisjoint(place for place in y if place % 2) for x, y in zip(cut, cut[1:]))
+    assert all(place >> 9 << 9 in x for x in cut for place in x)
+
+    counted = spark.createDataFrame([(int(k), int(n)) for k, n in zip(keys, counts)], "key long, n long")
+    trained = counts > 0
+    found = lm_scoring.levels(keys[trained], counts[trained], 5, 0)
+    whole = dict(zip(keys.tolist(), np.log10(lm_scoring.probabilities(keys, found, 5, 5)).sum(axis=0)))
+    for chunk in (20, 10**6):
+        got = {r.key: r.log_p for r in lm_scoring.gram_scores(counted, 5, chunk).collect()}
+        assert got.keys() == whole.keys() and max(abs(got[k] - whole[k]) for k in got) < 1e-9
+
+
+def test_lm_scoring_holds_little_of_a_block():
+    """Beside its result, counting the grams of a block takes memory for a part of it."""
+    rng = np.random.default_rng(1)
+    words = [b"w%d" % i for i in range(300)]
+    codes = rng.integers(0, 300, 1_500_000).astype("<i4")
+    bounds = np.arange(0, len(codes) + 1, 500)
+    spelled = b" ".join(words)
+    data = {"codes": codes, "bounds": bounds, "spelled": spelled}
+    block = lm_scoring.Block({k: lm_scoring.packed(v) for k, v in data.items()} | {"sizes": [len(codes), len(bounds), len(spelled)], "held": [i % 10 == 0 for i in range(len(bounds) - 1)]})
+    tracemalloc.start()
+    keys, counts = block.gram_counts(5)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    texts = [text for _, _, part in block.parts() for text in part]
+    assert counts.sum() == sum(len(text) for i, text in enumerate(texts) if i % 10)
+    assert peak < 32 << 20, peak
+
+
 def test_personal_data(odd, none):
     assert personal_data.find(none).count() == 0
     rows = {r.doc_id: r for r in personal_data.find(odd).collect()}

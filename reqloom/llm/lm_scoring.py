@@ -33,6 +33,8 @@ SPACE = 0x20
 BLOCK, PART, CHUNK = 32 << 20, 1 << 18, 50_000
 #: Grams that share so many bytes of context are worked on at once.
 CUT = 3
+#: Shares that the contexts below one node are dealt into.
+SHARES = 16
 HALF = np.log(0.5)
 
 
@@ -170,7 +172,16 @@ class Block:
         """Each word's hash and its count in training documents."""
         keys = np.fromiter(map(xxhash.xxh64_intdigest, self.words), np.uint64, len(self.words)).view(np.int64)
         each = np.repeat(self.train, np.diff(self.bounds))
-        return keys, np.bincount(self.codes[each], minlength=len(self.words)).astype(np.int64)
+        counts = np.zeros(len(self.words), np.int64)
+        for start in range(0, len(each), PART):
+            some = slice(start, start + PART)
+            counts += np.bincount(self.codes[some][each[some]], minlength=len(counts))
+        return keys, counts
+
+    def between(self, start: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Words of the documents from `start` to before `end`, and each one's bounds there."""
+        bounds = self.bounds[start : end + 1]
+        return self.codes[bounds[0] : bounds[-1]], bounds - bounds[0]
 
     def parts(self) -> Iterator[tuple[int, int, list[bytes]]]:
         """First and last document of a part of about PART bytes, and its coded texts."""
@@ -207,11 +218,11 @@ def entries(rows: DataFrame, what: str, depth: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(batch.num_rows):
-                block = Block(row := batch.slice(at, 1).to_pylist()[0])
+                block, of = Block(batch.slice(at, 1).to_pylist()[0]), batch.column("block")[at].as_py()
                 keys, counts = block.word_counts() if what == "words" else block.gram_counts(depth)
                 for start in range(0, len(keys), 100_000):
                     some = slice(start, start + 100_000)
-                    number = np.full(len(keys[some]), row["block"])
+                    number = np.full(len(keys[some]), of)
                     yield pa.RecordBatch.from_arrays([pa.array(number), pa.array(keys[some]), pa.array(counts[some])], names=["of_block", "key", "n"])
 
     return rows.select("block", "held", "sizes", "codes", "bounds", "spelled").mapInArrow(run, "of_block long, key long, n long")
@@ -241,9 +252,9 @@ def whole_contexts(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.
         yield pa.Table.from_batches(held)
 
 
-def in_order(rows: DataFrame) -> DataFrame:
-    """The rows of each node's contexts in one task, in the order of `place`."""
-    return rows.repartition(F.shiftright("place", 9)).sortWithinPartitions("place", "key")
+def in_order(rows: DataFrame, *together: F.Column) -> DataFrame:
+    """Rows alike in these columns in one task, in the order of `place`."""
+    return rows.repartition(*together).sortWithinPartitions("place", "key")
 
 
 def placed(counted: DataFrame, depth: int, cut: int) -> DataFrame:
@@ -278,7 +289,7 @@ def inner_nodes(counted: DataFrame, depth: int, cut: int, chunk: int) -> DataFra
         for rows in whole_contexts(batches, chunk):
             yield given_up(levels(rows.column("key").to_numpy(), rows.column("n").to_numpy(), depth, cut)[-1])
 
-    return stage(summed(in_order(placed(counted.where("n > 0"), depth, cut)).mapInArrow(run, SUMS)))
+    return stage(summed(in_order(placed(counted.where("n > 0"), depth, cut), F.col("place")).mapInArrow(run, SUMS)))
 
 
 def upper_levels(nodes: DataFrame, cut: int) -> list[Level]:
@@ -314,8 +325,11 @@ def gram_scores(counted: DataFrame, depth: int, chunk: int = CHUNK) -> DataFrame
             p = probabilities(grams, upper, depth, cut - 2, p)
             yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(np.log10(p).sum(axis=0))], names=["key", "log_p"])
 
-    both = placed(counted, depth, cut).unionByName(nodes.withColumn("place", at), allowMissingColumns=True)
-    return in_order(both).mapInArrow(run, "key long, log_p double")
+    # a node goes to every share; one that meets itself again in a task does no harm
+    grams = placed(counted, depth, cut).withColumn("share", F.shiftright("place", 1) % SHARES)
+    copies = nodes.withColumn("place", at).withColumn("share", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SHARES - 1).cast("long"))))
+    both = in_order(grams.unionByName(copies, allowMissingColumns=True), F.shiftright("place", 9), F.col("share"))
+    return both.drop("share").mapInArrow(run, "key long, log_p double")
 
 
 def score(docs: DataFrame, held_out: str = "held_out", depth: int = DEPTH) -> DataFrame:
@@ -348,8 +362,7 @@ def score(docs: DataFrame, held_out: str = "held_out", depth: int = DEPTH) -> Da
     back = words_back.union(grams_back)
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.select(["held", "sizes", "codes", "bounds", "spelled"]).to_pylist()[0]
-        block = Block(row)
+        block = Block(left.select(["held", "sizes", "codes", "bounds", "spelled"]).to_pylist()[0])
         word = right.column("word").to_numpy().astype(bool)
         key, value = right.column("key").to_numpy(), right.column("value").to_numpy()
         hashes, own = block.word_counts()
@@ -361,17 +374,18 @@ def score(docs: DataFrame, held_out: str = "held_out", depth: int = DEPTH) -> Da
             count = np.where(known[at] == hashes, total[at], count)
         order = np.argsort(key[~word])
         keys, log_p = key[~word][order], value[~word][order]
-        full, size = np.zeros(len(block.train)), np.zeros(len(block.train))
+        known, log_base = (count > 0).astype(np.int64), np.log10((count + 0.1) / divisor)
+        n_known, base, full, size = (np.zeros(len(block.train), kind) for kind in (np.int64, float, float, float))
         for start, end, coded in block.parts():
             grams, bounds = grams_of(coded, depth)
             full[start:end] = sums_by_text(log_p[np.searchsorted(keys, grams)], bounds)
             size[start:end] = np.diff(bounds)
-        bounds, codes = block.bounds, block.codes
-        known = sums_by_text((count > 0)[codes].astype(np.int64), bounds) + (texts > 0)
-        base = sums_by_text(np.log10((count + 0.1) / divisor)[codes], bounds) + np.log10((texts + 0.1) / divisor)
+            codes, bounds = block.between(start, end)
+            n_known[start:end] = sums_by_text(known[codes], bounds) + (texts > 0)
+            base[start:end] = sums_by_text(log_base[codes], bounds) + np.log10((texts + 0.1) / divisor)
         ids, held = (left.column(name).combine_chunks().flatten() for name in ("ids", "held"))
-        n_tokens = np.diff(bounds) + 1
-        columns = [ids, held, n_tokens, known, np.full(len(n_tokens), tokens), base, full, -full / np.log10(2) / size]
+        n_tokens = np.diff(block.bounds) + 1
+        columns = [ids, held, n_tokens, n_known, np.full(len(n_tokens), tokens), base, full, -full / np.log10(2) / size]
         return pa.table(dict(zip(("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"), columns)))
 
     kind = dict(docs.dtypes)["doc_id"]

@@ -124,6 +124,14 @@ def probabilities(grams: np.ndarray, found: list[Level], depth: int, start: int,
     return flat.reshape(keys.shape)
 
 
+def looked_up(wanted: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """The value of each wanted key, all of which are among `keys`, which ascend; in their order, a search stays near the last."""
+    order = np.argsort(wanted)
+    out = np.empty(len(wanted), values.dtype)
+    out[order] = values[np.searchsorted(keys, wanted[order])]
+    return out
+
+
 def packed(data: np.ndarray | bytes) -> bytes:
     return pa.compress(data if isinstance(data, bytes) else data.tobytes(), codec="zstd", asbytes=True)
 
@@ -378,7 +386,7 @@ def score(docs: DataFrame, held_out: str = "held_out", depth: int = DEPTH) -> Da
         n_known, base, full, size = (np.zeros(len(block.train), kind) for kind in (np.int64, float, float, float))
         for start, end, coded in block.parts():
             grams, bounds = grams_of(coded, depth)
-            full[start:end] = sums_by_text(log_p[np.searchsorted(keys, grams)], bounds)
+            full[start:end] = sums_by_text(looked_up(grams, keys, log_p), bounds)
             size[start:end] = np.diff(bounds)
             codes, bounds = block.between(start, end)
             n_known[start:end] = sums_by_text(known[codes], bounds) + (texts > 0)

@@ -47,6 +47,8 @@ BEFORE = 8
 TALLIES = 1 << 16
 #: Nodes of one side of a shingle's list that a block of pairs holds.
 BLOCK = 1024
+#: Bytes of text that a task works on at once.
+TEXT_BLOCK = 1 << 20
 
 
 def shingles_of(texts: list[bytes], words: Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -99,7 +101,7 @@ def signed(docs: DataFrame) -> DataFrame:
     length = BANDS * BAND_ROWS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "_text"):
+        for block in blocks(batches, "_text", TEXT_BLOCK):
             texts, words = [text.lower() for text in texts_of(block, "_text")], Words()
             shingles, bounds, times = shingles_of(texts, words)
             rows = signatures(shingles, weights_of(times), bounds, length).astype(np.uint32).view(np.int32)
@@ -134,7 +136,7 @@ def components(edges: DataFrame) -> DataFrame:
     def mark(rows: DataFrame) -> tuple:
         return tuple(rows.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    rows = stage(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    rows = stage(edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), edges.count())
     before = mark(rows)
     while True:
         both = rows.union(rows.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -144,7 +146,8 @@ def components(edges: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "at")
         joined = large.join(least, F.col("a") == F.col("at"))
         small = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select(F.col("at").alias("a"), F.col("m").alias("b")))
-        rows = stage(small.where("a != b").distinct())
+        # an edge gives one large star's edge, and that one small star's edge and at most one of its node
+        rows = stage(small.where("a != b").distinct(), 2 * before[0])
         after = mark(rows)
         if after == before:
             return rows.select(F.col("a").alias("node"), F.col("b").alias("root"))
@@ -218,14 +221,16 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     buckets = stage(every.join(heads, "bucket"))
     stars = buckets.where((F.col("head.node") != F.col("node")) & alike((F.col("head.b0"), F.col("head.b1")), (F.col("b0"), F.col("b1"))))
     stars = stars.select(F.col("head.node").alias("a"), F.col("node").alias("b"))
-    candidates = stage(stars.union(neighbours(buckets)).distinct())
+    # a bucket's row gives a pair with its first node and NEIGHBOURS more
+    most = (1 + NEIGHBOURS) * buckets.count()
+    candidates = stage(stars.union(neighbours(buckets)).distinct(), most)
     sets = stage(_sets(docs, nodes.join(buckets.select("node").distinct(), "node", "left_semi")))
     # one pair per node first, with the least node it met; then what still lies between classes
     first = candidates.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    links = stage(verified(first, nodes, sets, similarity))
+    links = stage(verified(first, nodes, sets, similarity), most)
     roots = components(links)
     others = _between(candidates, roots)
-    links = stage(links.union(verified(others, nodes, sets, similarity)))
+    links = stage(links.union(verified(others, nodes, sets, similarity)), most)
     roots = components(links)
     more = _rest(buckets, roots, sets, similarity).join(candidates, ["a", "b"], "left_anti")
     links = stage(links.union(verified(more, nodes, sets, similarity)))
@@ -244,7 +249,7 @@ def _sets(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """`node` and its distinct shingles (32-bit hashes) for the given nodes, read from one of their texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "_text"):
+        for block in blocks(batches, "_text", TEXT_BLOCK):
             shingles, bounds, _ = shingles_of([text.lower() for text in texts_of(block, "_text")], Words())
             values = pa.array((shingles >> np.uint64(32)).astype(np.uint32).view(np.int32))
             yield pa.RecordBatch.from_arrays([block.column("node"), pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values)], names=["node", "shingles"])

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 SINGLE_TASK_ROWS = 1_000_000
 # Largest staged table that may be broadcast.
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Rows of two numbers that one file of a staged table holds; each file costs its task process starts on local folders.
+FILE_ROWS = 250_000
 
 _ROW_BYTES = 64
 
@@ -33,9 +35,14 @@ def new_path(spark: SparkSession) -> str:
     return path
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """Writes the frame to the shared folder and returns the written table."""
+def stage(df: DataFrame, rows: int | None = None) -> DataFrame:
+    """Writes the frame to the shared folder and returns the written table.
+
+    Where a bound of its `rows` is known, and they are short, they are dealt evenly to one file for each FILE_ROWS after the
+    work on them is done; else every task writes a file.
+    """
     path = new_path(df.sparkSession)
+    df = df if rows is None else df.repartition(max(1, -(-rows // FILE_ROWS)))
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

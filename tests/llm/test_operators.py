@@ -20,6 +20,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from reqloom.llm import line_dedup, lm_scoring, mixing, near_dedup, packing, personal_data, quality, quality_rules, secret_scan, top_k
 from reqloom.llm.shared import mixed
+from reqloom.operators import staging
 
 SMALL = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, block long, n int"
@@ -297,6 +298,36 @@ def test_near_duplicates_with_repeated_blocks(spark):
     assert {r.doc_id: r.class_id for r in found} == want
 
 
+def test_edges_are_staged_in_few_files(spark, monkeypatch):
+    # three files for each task that writes cost the task as many process starts, for a handful of edges
+    monkeypatch.setattr(staging, "FILE_ROWS", 150)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        few = near_dedup.components(spark.createDataFrame([(i, i + 1) for i in range(50)], "a long, b long"))
+        many = near_dedup.components(spark.createDataFrame([(i, i + 1) for i in range(0, 800, 2)], "a long, b long"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(few.inputFiles()) == 1 and 2 <= len(many.inputFiles()) <= 6
+    assert {tuple(row) for row in few.collect()} == {(i, 0) for i in range(1, 51)}
+    assert {tuple(row) for row in many.collect()} == {(i + 1, i) for i in range(0, 800, 2)}
+
+
+def test_signatures_hold_little_of_a_batch():
+    draw = random.Random(9)
+    texts = [" ".join(draw.choice("abcdefgh") + str(draw.randrange(999)) for _ in range(2000)) for _ in range(600)]
+    batch, seen = pa.RecordBatch.from_pydict({"_text": texts}), []
+    tracemalloc.start()
+    for block in near_dedup.blocks([batch], "_text", near_dedup.TEXT_BLOCK):
+        raw = near_dedup.texts_of(block, "_text")
+        seen += raw
+        shingles, bounds, times = near_dedup.shingles_of(raw, near_dedup.Words())
+        near_dedup.signatures(shingles, near_dedup.weights_of(times), bounds, near_dedup.BANDS * near_dedup.BAND_ROWS)
+    held = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    # blocks of 8 MB, all of these texts at once, held 115 MB
+    assert seen == [text.encode() for text in texts] and held < 50
+
+
 def test_signatures_estimate_probability_jaccard():
     shingles = mixed(np.arange(1, 301, dtype=np.uint64))
     a, b = shingles[:250], shingles[50:]

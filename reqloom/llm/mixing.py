@@ -155,34 +155,26 @@ def mix(docs: DataFrame, plan: Plan = Plan()) -> tuple[DataFrame, DataFrame]:
     per_source = numbered.groupBy("source").agg(F.max("source_blocks").alias("n"), F.max("source_words").alias("w"))
     wanted = goals.withColumnRenamed("source", "_s").join(per_source, F.col("_s").eqNullSafe(F.col("source"))).drop("_s")
     quota = F.least(F.round(F.col("target") * F.col("n") / F.col("w")), F.floor(F.lit(plan.most)) * F.col("n")).cast("long")
-    quotas = stage(wanted.select("source", F.col("n").alias("blocks"), quota.alias("quota")))
+    quotas = stage(wanted.select("source", F.col("n").alias("blocks"), quota.alias("quota"), F.xxhash64("source").alias("salt")))
     spark = docs.sparkSession
     table = sorted(quotas.collect(), key=lambda r: (r.source is None, (r.source or "").encode()))
-    shares, sizes = (np.array([r[name] for r in table], dtype=np.int64) for name in ("quota", "blocks"))
+    shares, sizes, salts = (np.array([r[name] for r in table], dtype=np.int64) for name in ("quota", "blocks", "salt"))
     shards = max(1, -(-int(shares.sum()) // plan.shard))
     names = [r.source for r in table]
 
-    def descend(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    # from the root to a shard's blocks in one step: a second one would be a second Python process for every running task
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            if len(batch) and len(names):
-                for leaf, start, share in leaves(shares, shards, plan, int(batch["id"].min()), int(batch["id"].max()) + 1):
-                    some = np.flatnonzero(share)
-                    yield pd.DataFrame({"source": [names[i] for i in some], "shard": leaf, "start": start[some], "share": share[some], "blocks": sizes[some]})
-
-    # the source's blocks in permuted order, pass after pass: turn t is block permuted(t mod blocks)
-    tree = spark.range(shards).mapInPandas(descend, "source string, shard long, start long, share long, blocks long")
-    dealt = tree.select(
-        "source", "shard", "blocks", F.xxhash64("source").alias("salt"), F.explode(F.sequence("start", F.col("start") + F.col("share") - 1)).alias("turn")
-    )
-
-    def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                n, seed = batch["blocks"].to_numpy(), batch["salt"].to_numpy() & 0x7FFFFFFF
-                number = permuted(batch["turn"].to_numpy() % n, n, seed)
-                yield batch[["source", "shard", "turn"]].assign(number=number)
-
-    turns = dealt.mapInPandas(draw, "source string, shard long, turn long, number long")
+            if not len(batch) or not names:
+                continue
+            for leaf, start, share in leaves(shares, shards, plan, int(batch["id"].min()), int(batch["id"].max()) + 1):
+                at = np.repeat(np.arange(len(names)), share)
+                # the source's blocks in permuted order, pass after pass: turn t is block permuted(t mod blocks)
+                turn = np.arange(len(at)) + np.repeat(start - np.cumsum(share) + share, share)
+                number = permuted(turn % sizes[at], sizes[at], salts[at] & 0x7FFFFFFF)
+                yield pd.DataFrame({"source": [names[i] for i in at], "shard": leaf, "turn": turn, "number": number})
+
+    turns = spark.range(shards).mapInPandas(deal, "source string, shard long, turn long, number long")
     spans = placed.withColumnRenamed("source", "_s").withColumnRenamed("stream", "_t").join(
         numbered.select("source", "stream", "first_block"), F.col("_s").eqNullSafe(F.col("source")) & (F.col("_t") == F.col("stream"))
     )

@@ -136,6 +136,13 @@ def test_mixing(odd, none, documents):
     assert again == {tuple(r) for r in draws.drop("_row").collect()}
 
 
+def test_mixing_draws_in_one_python_step(documents, capsys):
+    # each further step in a stage is one more Python process for every task that runs
+    draws, _ = mixing.mix(documents)
+    draws.explain()
+    assert capsys.readouterr().out.count("MapInPandas") == 1
+
+
 def test_permutation_and_tree():
     for size in (1, 2, 7, 100, 1000):
         at = np.arange(size)

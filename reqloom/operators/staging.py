@@ -7,6 +7,8 @@ that size. Only aggregated tables are staged, never the request rows.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +21,7 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 FILE_ROWS = 250_000
 
 _ROW_BYTES = 64
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,7 +47,28 @@ def stage(df: DataFrame, rows: int | None = None) -> DataFrame:
     path = new_path(df.sparkSession)
     df = df if rows is None else df.repartition(max(1, -(-rows // FILE_ROWS)))
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged.staged_at = path
+    return staged
+
+
+def unstage(*staged: DataFrame) -> None:
+    """Deletes tables that `stage` returned; frames built on them can no longer be run."""
+    for one in staged:
+        context = one.sparkSession.sparkContext
+        hadoop = context._jvm.org.apache.hadoop.fs.Path(one.staged_at)
+        hadoop.getFileSystem(context._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
+@contextmanager
+def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what runs inside go as soon as it has ended, not when the driver happens to collect its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
 
 
 def staged_bytes(staged: DataFrame) -> int:
